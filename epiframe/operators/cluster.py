@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from epiframe.contracts import CONFIRMED, DEATH_BY_DISEASE, FEATURES, MIN_CONFIRMED, TRIMESTERS
+from epiframe.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -67,33 +68,151 @@ def zscores(profile: DataFrame, features: Sequence[str] = FEATURES, prefix: str
     return out.drop("__v")
 
 
-def _points(scaled: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=[f"z_{c}" for c in features], outputCol="features").transform(scaled)
+def _points(scaled: DataFrame, id_column: str) -> DataFrame:
+    """Scaled rows with a hashed id, written once for the many passes that follow.
+
+    The rebalance hint lets the runtime pick few partitions for few municipalities.
+    """
+    return cut_lineage(scaled.hint("rebalance").withColumn("__h", F.xxhash64(id_column))).persist()
+
+
+# --- K-means: many runs in one pass ---------------------------------------------------------
+def _uniform(h: np.ndarray, salt: int) -> np.ndarray:
+    """Repeatable numbers in (0, 1) per row: a retried task draws the same ones."""
+    with np.errstate(over="ignore"):
+        z = h.astype(np.uint64) + np.uint64((salt * 0x9E3779B97F4A7C15) % 2**64)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z = z ^ (z >> np.uint64(31))
+    return ((z >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
 
 
-def _fit(points: DataFrame, k: int, seed: int) -> KMeansModel:
-    return KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="features", predictionCol="cluster").fit(points)
+def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.maximum((x * x).sum(1)[:, None] + (centres * centres).sum(1)[None, :] - 2 * x @ centres.T, 0.0)
 
 
-def best_kmeans(points: DataFrame, k: int, restarts: int = 10, seed: int = 42, parallel: int = 4) -> KMeansModel:
-    """Of ``restarts`` seeded fits the one with the lowest within-cluster sum of squares."""
-    with ThreadPoolExecutor(parallel) as pool:
-        models = list(pool.map(lambda i: _fit(points, k, seed + i), range(restarts)))
-    return min(models, key=lambda m: m.summary.trainingCost)
+def _next_seeds(points: DataFrame, z: list[str], chosen: dict[int, list], step: int, seed: int) -> dict[int, list]:
+    """One more centre per run, drawn with probability proportional to the squared distance
+    to the centres chosen so far: the row that finishes first in an exponential race."""
+
+    def race(batches):
+        best: dict[int, tuple] = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x, h = pdf[z].to_numpy(dtype=float), pdf["__h"].to_numpy()
+            for run, centres in chosen.items():
+                weight = _squared(x, np.array(centres)).min(1) if centres else np.ones(len(x))
+                arrival = -np.log(_uniform(h, seed + 1000 * run + step)) / np.maximum(weight, 1e-300)
+                i = int(arrival.argmin())
+                if run not in best or arrival[i] < best[run][0]:
+                    best[run] = (float(arrival[i]), x[i].tolist())
+        yield pd.DataFrame({"run": list(best), "t": [v[0] for v in best.values()], "x": [v[1] for v in best.values()]})
+
+    winners = points.select("__h", *z).mapInPandas(race, "run int, t double, x array<double>")
+    # One row per run.
+    return {r["run"]: r["x"] for r in winners.groupBy("run").agg(F.min_by("x", "t").alias("x")).collect()}
+
+
+def _step(points: DataFrame, z: list[str], centres: dict[int, np.ndarray]) -> dict[int, dict[int, tuple]]:
+    """Size, cost and coordinate sums per run and cluster, from one pass over the points."""
+
+    def partial(batches):
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for pdf in batches:
+            x = pdf[z].to_numpy(dtype=float)
+            for run, c in centres.items():
+                d = _squared(x, c)
+                label, near = d.argmin(1), d.min(1)
+                for j in np.unique(label):
+                    mine = label == j
+                    part = np.concatenate([[mine.sum(), near[mine].sum()], x[mine].sum(0)])
+                    key = (run, int(j))
+                    total[key] = total[key] + part if key in total else part
+        yield pd.DataFrame(
+            {"run": [k[0] for k in total], "cluster": [k[1] for k in total], "n": [v[0] for v in total.values()],
+             "cost": [v[1] for v in total.values()], "s": [v[2:].tolist() for v in total.values()]}
+        )
+
+    parts = points.select(*z).mapInPandas(partial, "run int, cluster int, n double, cost double, s array<double>")
+    sums = parts.groupBy("run", "cluster").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(len(z))]
+    )
+    out: dict[int, dict[int, tuple]] = {}
+    # One row per run and cluster.
+    for r in sums.collect():
+        out.setdefault(r["run"], {})[r["cluster"]] = (r["n"], r["cost"], np.array([r[f"s{i}"] for i in range(len(z))]))
+    return out
+
+
+def kmeans(
+    points: DataFrame, z: Sequence[str], ks: Sequence[int], restarts: int = 10, seed: int = 42,
+    max_iter: int = 300, tol: float = 1e-4,
+) -> dict[int, tuple[float, np.ndarray]]:
+    """For every ``k`` the inertia and centres of the best of ``restarts`` runs.
+
+    ``points`` has the scaled columns ``z`` and the row hash ``__h``. All runs of all ``k``
+    move together: each iteration is a single job in which tasks add up their rows and only
+    sums per run and cluster come back, so the number of passes is that of the slowest run.
+    """
+    z = list(z)
+    runs = [k for k in ks for _ in range(restarts)]
+    chosen: list[list] = [[] for _ in runs]
+    for step in range(max(runs)):
+        growing = {run: chosen[run] for run, k in enumerate(runs) if len(chosen[run]) < k}
+        for run, centre in _next_seeds(points, z, growing, step, seed).items():
+            chosen[run].append(centre)
+    centres = {run: np.array(c) for run, c in enumerate(chosen)}
+    cost: dict[int, float] = {}
+    moving = dict(centres)
+    for _ in range(max_iter):
+        sums = _step(points, z, moving)
+        for run, clusters in sums.items():
+            new = centres[run].copy()
+            for j, (n, _, s) in clusters.items():
+                new[j] = s / n
+            cost[run] = sum(c for _, c, _ in clusters.values())
+            shift = float(((new - centres[run]) ** 2).sum())
+            centres[run] = new
+            # The scaled columns have unit variance, which the tolerance is relative to.
+            if shift <= tol:
+                del moving[run]
+            else:
+                moving[run] = new
+        if not moving:
+            break
+    for run, clusters in _step(points, z, centres).items():
+        cost[run] = sum(c for _, c, _ in clusters.values())
+    best: dict[int, tuple[float, np.ndarray]] = {}
+    for run, k in enumerate(runs):
+        if k not in best or cost[run] < best[k][0]:
+            best[k] = (cost[run], centres[run])
+    return best
+
+
+def nearest(z: Sequence[str], centres: np.ndarray) -> Column:
+    """Number of the closest centre."""
+    ranked = []
+    for j, centre in enumerate(centres):
+        gaps = [(F.col(c) - F.lit(float(v))) for c, v in zip(z, centre)]
+        ranked.append(F.struct(reduce(add, [g * g for g in gaps]).alias("d"), F.lit(j).alias("j")))
+    return F.array_min(F.array(*ranked))["j"]
 
 
 def cluster_municipalities(
-    profile: DataFrame, k: int = 4, features: Sequence[str] = FEATURES, restarts: int = 10, seed: int = 42
+    profile: DataFrame, k: int = 4, features: Sequence[str] = FEATURES, restarts: int = 10, seed: int = 42,
+    id_column: str = "municipio_id",
 ) -> DataFrame:
     """Profile plus ``cluster``; clusters are numbered from the largest mean volume down."""
-    points = _points(zscores(profile, features), features).persist()
-    model = best_kmeans(points, k, restarts, seed)
-    labelled = model.transform(points)
-    size = labelled.groupBy("cluster").agg(F.avg("total_confirmados").alias("v"), F.min("municipio_id").alias("m"))
+    z = [f"z_{c}" for c in features]
+    points = _points(zscores(profile, features), id_column)
+    _, centres = kmeans(points, z, [k], restarts, seed)[k]
+    labelled = points.withColumn("__c", nearest(z, centres))
+    size = labelled.groupBy("__c").agg(F.avg("total_confirmados").alias("v"), F.min(id_column).alias("m"))
     # One row per cluster.
     number = F.row_number().over(Window.orderBy(F.desc("v"), "m")) - 1
-    numbered = size.select("cluster", number.alias("__new"))
-    return labelled.join(F.broadcast(numbered), "cluster").select(*profile.columns, F.col("__new").alias("cluster"))
+    numbered = size.select("__c", number.alias("cluster"))
+    return labelled.join(F.broadcast(numbered), "__c").select(*profile.columns, "cluster")
 
 
 def kmeans_sweep(
@@ -101,17 +220,13 @@ def kmeans_sweep(
     restarts: int = 10, seed: int = 42,
 ) -> DataFrame:
     """Inertia and Euclidean silhouette for each ``k``; one distance pass serves them all."""
-    points = _points(zscores(profile, features), features).persist()
-    costs, labelled = [], points
-    for k in ks:
-        model = best_kmeans(points, k, restarts, seed)
-        costs.append((k, float(model.summary.trainingCost)))
-        labelled = model.setPredictionCol(f"k{k}").transform(labelled)
-    scores = silhouette(labelled, id_column, [f"z_{c}" for c in features], [f"k{k}" for k in ks])
-    inertia = points.sparkSession.createDataFrame(costs, "k int, inercia double")
-    return inertia.join(
-        scores.select(F.substring("rotulo", 2, 9).cast("int").alias("k"), "silhueta"), "k"
-    )
+    z = [f"z_{c}" for c in features]
+    points = _points(zscores(profile, features), id_column)
+    best = kmeans(points, z, ks, restarts, seed)
+    labelled = points.select(id_column, *z, *[nearest(z, centres).alias(f"k{k}") for k, (_, centres) in best.items()])
+    scores = silhouette(labelled, id_column, z, [f"k{k}" for k in ks])
+    inertia = points.sparkSession.createDataFrame([(k, float(c)) for k, (c, _) in best.items()], "k int, inercia double")
+    return inertia.join(scores.select(F.substring("rotulo", 2, 9).cast("int").alias("k"), "silhueta"), "k")
 
 
 # --- silhouette -------------------------------------------------------------------------
@@ -134,39 +249,40 @@ def silhouette_samples(
         F.pmod(F.xxhash64(id_column), blocks).alias("b"),
         blocks.alias("n_blocks"),
     )
-    packed = tagged.groupBy("b", "n_blocks").agg(F.collect_list(F.struct("id", "x", "l")).alias("rows"))
+    rows = F.collect_list(F.struct("id", "x", "l")).alias("rows")
+    packed = tagged.groupBy("b", "n_blocks").agg(rows).select(
+        "b", "n_blocks", F.struct(F.col("rows.id"), F.flatten("rows.x").alias("x"), F.flatten("rows.l").alias("l")).alias("block")
+    )
     left = packed.select(
-        F.col("rows").alias("left"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("b")
+        F.col("block").alias("left"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("b")
+    )
+    pairs = left.join(packed.select("b", F.col("block").alias("right")), "b").select("left.*", "right.*").toDF(
+        "id_a", "x_a", "l_a", "id_b", "x_b", "l_b"
     )
-    pairs = left.join(packed.select("b", F.col("rows").alias("right")), "b").select("left", "right")
     id_type = points.schema[id_column].dataType.simpleString()
 
     def sums(batches):
         for pdf in batches:
-            for left_rows, right_rows in zip(pdf["left"], pdf["right"]):
-                a = np.array([r["x"] for r in left_rows], dtype=float)
-                b = np.array([r["x"] for r in right_rows], dtype=float)
-                square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
-                distance = np.sqrt(np.maximum(square, 0.0))
-                ids_a, ids_b = [r["id"] for r in left_rows], [r["id"] for r in right_rows]
-                same = {v: i for i, v in enumerate(ids_b)}
-                for i, v in enumerate(ids_a):
-                    if v in same:
-                        distance[i, same[v]] = 0.0
-                own = np.array([r["l"] for r in left_rows])
-                other = np.array([r["l"] for r in right_rows])
+            for row in pdf.itertuples(index=False):
+                a, b = np.asarray(row.id_a), np.asarray(row.id_b)
+                x_a = np.asarray(row.x_a, dtype=float).reshape(len(a), -1)
+                x_b = np.asarray(row.x_b, dtype=float).reshape(len(b), -1)
+                own = np.asarray(row.l_a).reshape(len(a), -1)
+                other = np.asarray(row.l_b).reshape(len(b), -1)
+                distance = np.sqrt(_squared(x_a, x_b))
+                _, same_a, same_b = np.intersect1d(a, b, return_indices=True)
+                distance[same_a, same_b] = 0.0
                 for j, name in enumerate(names):
                     found, position = np.unique(other[:, j], return_inverse=True)
                     member = np.eye(len(found))[position]
-                    total = distance @ member
                     yield pd.DataFrame(
                         {
-                            "id": np.repeat(ids_a, len(found)),
+                            "id": np.repeat(a, len(found)),
                             "rotulo": name,
                             "own": np.repeat(own[:, j], len(found)),
-                            "other": np.tile(found, len(ids_a)),
-                            "d": total.ravel(),
-                            "n": np.tile(member.sum(0).astype(int), len(ids_a)),
+                            "other": np.tile(found, len(a)),
+                            "d": (distance @ member).ravel(),
+                            "n": np.tile(member.sum(0).astype(int), len(a)),
                         }
                     )
 
@@ -204,7 +320,8 @@ def pca_scores(profile: DataFrame, features: Sequence[str] = FEATURES, k: int =
 
     Each component points to where its largest loading is positive.
     """
-    points = _points(zscores(profile, features), features).persist()
+    scaled = cut_lineage(zscores(profile, features).hint("rebalance"))
+    points = VectorAssembler(inputCols=[f"z_{c}" for c in features], outputCol="features").transform(scaled)
     model = PCA(k=k, inputCol="features", outputCol="__pca").fit(points)
     loadings = model.pc.toArray()
     signs = [1.0 if loadings[np.abs(loadings[:, i]).argmax(), i] >= 0 else -1.0 for i in range(k)]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -40,3 +41,15 @@ def shared_dir(spark: SparkSession) -> str:
     fallback = tempfile.mkdtemp(prefix="epiframe-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` as a table written to the shared folder and read back.
+
+    For frames that many later jobs read: a lost executor costs a re-read, not a recompute,
+    and each of those jobs is planned from a plain scan.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
