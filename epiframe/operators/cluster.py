@@ -10,12 +10,10 @@ from operator import add
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from epiframe.contracts import CONFIRMED, DEATH_BY_DISEASE, FEATURES, MIN_CONFIRMED, TRIMESTERS
-from epiframe.session import cut_lineage
+from epiframe.session import cut_counted, cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -55,7 +53,11 @@ def municipality_profile(
 
 
 def zscores(profile: DataFrame, features: Sequence[str] = FEATURES, prefix: str = "z_") -> DataFrame:
-    """Add ``z_<feature>``: missing as 0, population standard deviation, 0 for a constant."""
+    """Add ``z_<feature>``: missing as 0, population standard deviation, 0 for a constant.
+
+    The profile, one row per municipality, is written first: moments and scores both read it.
+    """
+    profile = cut_lineage(profile)
     filled = profile.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
     moments = filled.agg(
         F.struct(*[F.avg(c).alias(f"m_{c}") for c in features], *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).alias("v")
@@ -240,21 +242,21 @@ def silhouette_samples(
     the distances. Memory per task does not depend on the number of points.
     """
     columns, names = [F.col(c).cast("double") for c in features], list(labels)
-    total = points.agg(F.count("*").alias("n")).scalar()
-    blocks = F.greatest(F.ceil(total / block), F.lit(1))
-    tagged = points.select(
-        F.col(id_column).alias("id"),
-        F.array(*columns).alias("x"),
-        F.array(*[F.col(c).cast("int") for c in names]).alias("l"),
-        F.pmod(F.xxhash64(id_column), blocks).alias("b"),
-        blocks.alias("n_blocks"),
+    slim, total = cut_counted(
+        points.select(
+            F.col(id_column).alias("id"),
+            F.array(*columns).alias("x"),
+            F.array(*[F.col(c).cast("int") for c in names]).alias("l"),
+        )
     )
+    blocks = max(-(-total // block), 1)
+    tagged = slim.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)))
     rows = F.collect_list(F.struct("id", "x", "l")).alias("rows")
-    packed = tagged.groupBy("b", "n_blocks").agg(rows).select(
-        "b", "n_blocks", F.struct(F.col("rows.id"), F.flatten("rows.x").alias("x"), F.flatten("rows.l").alias("l")).alias("block")
+    packed = tagged.groupBy("b").agg(rows).select(
+        "b", F.struct(F.col("rows.id"), F.flatten("rows.x").alias("x"), F.flatten("rows.l").alias("l")).alias("block")
     )
     left = packed.select(
-        F.col("block").alias("left"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("b")
+        F.col("block").alias("left"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("b")
     )
     pairs = left.join(packed.select("b", F.col("block").alias("right")), "b").select("left.*", "right.*").toDF(
         "id_a", "x_a", "l_a", "id_b", "x_b", "l_b"
@@ -318,14 +320,20 @@ def cluster_profile(clusters: DataFrame, features: Sequence[str] = FEATURES, dig
 def pca_scores(profile: DataFrame, features: Sequence[str] = FEATURES, k: int = 2) -> DataFrame:
     """Profile plus ``pca_1 .. pca_k`` on the scaled features.
 
-    Each component points to where its largest loading is positive.
+    The covariance is one aggregate over the rows; only that small matrix is decomposed on
+    the driver. Each component points to where its largest loading is positive.
     """
-    scaled = cut_lineage(zscores(profile, features).hint("rebalance"))
-    points = VectorAssembler(inputCols=[f"z_{c}" for c in features], outputCol="features").transform(scaled)
-    model = PCA(k=k, inputCol="features", outputCol="__pca").fit(points)
-    loadings = model.pc.toArray()
-    signs = [1.0 if loadings[np.abs(loadings[:, i]).argmax(), i] >= 0 else -1.0 for i in range(k)]
-    scores = vector_to_array("__pca")
-    return model.transform(points).select(
-        *profile.columns, *[(F.lit(signs[i]) * scores[i]).alias(f"pca_{i + 1}") for i in range(k)]
-    )
+    z = [f"z_{c}" for c in features]
+    scaled = zscores(profile, features)
+    pairs = [(i, j) for i in range(len(z)) for j in range(i, len(z))]
+    # The scaled columns have mean zero, so the mean product is the covariance.
+    moments = scaled.agg(*[F.avg(F.col(z[i]) * F.col(z[j])).alias(f"c_{i}_{j}") for i, j in pairs]).first()
+    covariance = np.zeros((len(z), len(z)))
+    for i, j in pairs:
+        covariance[i, j] = covariance[j, i] = moments[f"c_{i}_{j}"] or 0.0
+    loadings = np.linalg.eigh(covariance)[1][:, ::-1][:, :k]
+    loadings = loadings * np.sign(loadings[np.abs(loadings).argmax(axis=0), range(k)])
+    scores = [
+        reduce(add, [F.col(c) * float(w) for c, w in zip(z, loadings[:, i])]).alias(f"pca_{i + 1}") for i in range(k)
+    ]
+    return scaled.select(*profile.columns, *scores)

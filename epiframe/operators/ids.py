@@ -58,8 +58,13 @@ def arrival_id(df: DataFrame, out: str = "row_id") -> DataFrame:
     )
     sizes = tagged.groupBy(*split).agg(F.min("__pos").alias("__first"), F.count("*").alias("n"))
     order = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*split, "__first", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("__start"))
+    starts = sizes.select(
+        *split, "__first", F.col("n").alias("__n"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("__start")
+    )
     # One row per file split: bounded by the number of input splits the driver already lists.
-    return tagged.join(F.broadcast(starts), split).select(
-        (F.col("__start") + F.col("__pos") - F.col("__first") + 1).alias(out), *df.columns
+    place = F.col("__pos") - F.col("__first")
+    # Had the two scans cut the files differently, some row would fall outside its split.
+    checked = F.when((place >= 0) & (place < F.col("__n")), F.col("__start") + place + 1).otherwise(
+        F.raise_error(F.lit("file splits changed between scans"))
     )
+    return tagged.join(F.broadcast(starts), split).select(checked.alias(out), *df.columns)

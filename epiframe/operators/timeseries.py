@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from epiframe.contracts import CONFIRMED, HORIZON_WEEKS, SEASON_WEEKS, STUDY_END, STUDY_START
 from epiframe.functions.calendar import between_dates, iso_week, week_start
+from epiframe.session import cut_lineage
 
 # Normal quantile of an 80 % interval.
 Z80 = 1.2815515655446004
@@ -156,7 +157,11 @@ def evaluate(forecast: DataFrame, actual: DataFrame, by: Sequence[str] = ()) ->
 
 
 def holdout_evaluation(series: DataFrame, forecaster, by: Sequence[str] = (), weeks: int = HORIZON_WEEKS) -> DataFrame:
-    """Error of ``forecaster`` on the last ``weeks`` weeks after fitting on the rest."""
+    """Error of ``forecaster`` on the last ``weeks`` weeks after fitting on the rest.
+
+    The series, one row per key and week, is written first: both parts read it.
+    """
+    series = cut_lineage(series)
     parts = split_holdout(series, by, weeks)
     train = parts.filter(F.col("conjunto") == "treino").drop("conjunto")
     test = parts.filter(F.col("conjunto") == "teste").drop("conjunto")

@@ -11,22 +11,24 @@ from epiframe.plans.dashboard import build_base
 from epiframe.plans.gold import gold_tables
 from epiframe.plans.silver import Silver
 from epiframe.sources.bronze import read_case_file, read_gazetteer
-from epiframe.sources.tables import load_silver, published, write_tables
+from epiframe.sources.tables import load_silver, published, write_counted, write_tables
 
 log = logging.getLogger(__name__)
 
 
 def run(
-    spark: SparkSession, cases: str, gazetteer: str, silver_root: str, gold_root: str,
+    spark: SparkSession, cases: str | list[str], gazetteer: str, bronze_root: str, silver_root: str, gold_root: str,
     study: tuple[str, str] = (STUDY_START, STUDY_END), strict: bool = True, gazetteer_skip: int = 6,
     restarts: int = 10,
 ) -> dict[str, int]:
     """Build and publish everything; returns the row count of each table.
 
-    Later stages read the published Parquet tables, not the raw files again.
+    The raw text is parsed once, into a columnar copy with record numbers; every later stage
+    reads only the columns it needs from the tables written before.
     """
-    silver = Silver(read_case_file(spark, cases), read_gazetteer(spark, gazetteer, gazetteer_skip))
-    counts = load_silver(spark, silver.tables(), silver_root, strict)
+    counts = {"bronze": write_counted(read_case_file(spark, cases), f"{bronze_root}/casos")}
+    silver = Silver(spark.read.parquet(f"{bronze_root}/casos"), read_gazetteer(spark, gazetteer, gazetteer_skip))
+    counts |= load_silver(spark, silver, silver_root, strict)
     tables = published(spark, silver_root)
     base = build_base(tables["notificacoes_casos"], tables["pacientes"], tables["ufs"])
     counts |= write_tables(gold_tables(base, tables["municipios"], tables["ufs"], study, restarts=restarts), gold_root)

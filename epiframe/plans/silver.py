@@ -23,6 +23,9 @@ class Municipality:
 
     raw: str
 
+    def keys(self) -> list[Column]:
+        return [prefix6(nullify(F.col(self.raw)))]
+
 
 @dataclass(frozen=True)
 class Known:
@@ -32,6 +35,9 @@ class Known:
     dim: str
     key: str
 
+    def keys(self) -> list[Column]:
+        return [_smallint(self.raw)]
+
 
 @dataclass(frozen=True)
 class Region:
@@ -40,6 +46,9 @@ class Region:
     region: str
     uf: str
 
+    def keys(self) -> list[Column]:
+        return [_smallint(self.region), _smallint(self.uf)]
+
 
 @dataclass(frozen=True)
 class Unit:
@@ -47,6 +56,9 @@ class Unit:
 
     raw: str
 
+    def keys(self) -> list[Column]:
+        return [to_int(nullify(F.col(self.raw)), "int")]
+
 
 def _smallint(name: str) -> Column:
     return to_int(nullify(F.col(name)), "smallint")
@@ -90,6 +102,10 @@ CASE = {
 }
 
 
+# A written dimension of up to this many rows (one 4-byte key each) is broadcast.
+BROADCAST_ROWS = 2_000_000
+
+
 class Silver:
     """Lazy builders of the silver tables over one raw frame and one gazetteer."""
 
@@ -97,6 +113,8 @@ class Silver:
         self.bronze = bronze
         self.gazetteer = gazetteer
         self.spark = bronze.sparkSession
+        # Row counts of tables that have been written, see ``replace``.
+        self.rows: dict[str, int] = {}
 
     # --- dimensions ---------------------------------------------------------------
     @cached_property
@@ -173,31 +191,36 @@ class Silver:
         )
 
     # --- record-level tables --------------------------------------------------------
-    def _record(self, spec: dict, columns: tuple[str, ...], extra: dict[str, Column] | None = None) -> DataFrame:
+    def _record(self, spec: dict, columns: tuple[str, ...]) -> DataFrame:
         """Project the raw frame onto ``columns`` of ``spec``, joining only what they need."""
-        df, out = self.bronze, []
-        for name in columns or tuple(spec):
-            rule, slot = spec[name], f"__fk_{name}"
-            if callable(rule):
-                out.append(rule().alias(name))
-                continue
-            df = self._join(df, rule, slot)
-            out.append(F.col(slot).alias(name))
-        return df.select(*out, *[c.alias(n) for n, c in (extra or {}).items()])
-
-    def _join(self, df: DataFrame, rule, slot: str) -> DataFrame:
+        names = columns or tuple(spec)
+        keys = {n: spec[n].keys() for n in names if not callable(spec[n])}
+        # Parse first: the joins then carry typed values and short keys, not the raw text.
+        df = self.bronze.select(
+            F.col("row_id").alias("__row"),
+            *[spec[n]().alias(n) for n in names if n not in keys],
+            *[c.alias(f"__{n}_{i}") for n, parts in keys.items() for i, c in enumerate(parts)],
+        )
+        for name, parts in keys.items():
+            df = self._join(df, spec[name], name, [F.col(f"__{name}_{i}") for i in range(len(parts))])
+        return df.select(*names)
+
+    def _join(self, df: DataFrame, rule, out: str, key: list[Column]) -> DataFrame:
         match rule:
-            case Municipality(raw):
-                return resolve_unique(df, slot, prefix6(nullify(F.col(raw))), self.municipality_lookup)
-            case Known(raw, dim, key):
-                ids = getattr(self, dim).select(key).distinct()
-                return resolve(df, slot, {key: _smallint(raw)}, ids, key)
-            case Region(region, uf):
-                on = {"regional_id": _smallint(region), "uf_id": _smallint(uf)}
-                return resolve(df, slot, on, self.regionais_saude, "regional_saude_id")
-            case Unit(raw):
-                code = to_int(nullify(F.col(raw)), "int")
-                return resolve_large(df, slot, code, self.unidades_notificadoras, "unidade_id", F.col("row_id"))
+            case Municipality():
+                return resolve_unique(df, out, key[0], self.municipality_lookup)
+            case Known(_, dim, dim_key):
+                ids = getattr(self, dim).select(dim_key).distinct()
+                return resolve(df, out, {dim_key: key[0]}, ids, dim_key)
+            case Region():
+                return resolve(
+                    df, out, {"regional_id": key[0], "uf_id": key[1]}, self.regionais_saude, "regional_saude_id"
+                )
+            case Unit():
+                units = self.unidades_notificadoras
+                if self.rows.get("unidades_notificadoras", BROADCAST_ROWS + 1) <= BROADCAST_ROWS:
+                    return resolve(df, out, {"unidade_id": key[0]}, units, "unidade_id")
+                return resolve_large(df, out, key[0], units, "unidade_id", F.col("__row"))
         raise TypeError(rule)
 
     def pacientes(self, *columns: str) -> DataFrame:
@@ -249,11 +272,18 @@ class Silver:
     def casos_encerrados(self) -> DataFrame:
         return self._dated("data_encerramento", "caso_encerrado_id")
 
+    def table(self, name: str) -> DataFrame:
+        """One table with the contract's column order and types."""
+        member = getattr(self, name)
+        df = member() if callable(member) else member
+        return df.select(*[F.col(f.name).cast(f.type) for f in SILVER[name].fields])
+
     def tables(self) -> dict[str, DataFrame]:
-        """All nine tables, parents first, with the contract's column order and types."""
-        out = {}
-        for name in LOAD_ORDER:
-            member = getattr(self, name)
-            df = member() if callable(member) else member
-            out[name] = df.select(*[F.col(f.name).cast(f.type) for f in SILVER[name].fields])
-        return out
+        """All nine tables, parents first."""
+        return {name: self.table(name) for name in LOAD_ORDER}
+
+    def replace(self, name: str, written: DataFrame, rows: int) -> None:
+        """Let later tables look up a dimension as written, instead of deriving it again."""
+        if isinstance(getattr(type(self), name), cached_property):
+            self.__dict__[name] = written
+            self.rows[name] = rows

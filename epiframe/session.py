@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,13 +43,18 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` as a table written to the shared folder and read back.
+def cut_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` as a table written to the shared folder and read back, and its row count.
 
     For frames that many later jobs read: a lost executor costs a re-read, not a recompute,
     and each of those jobs is planned from a plain scan.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["n"]
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    return cut_counted(df)[0]

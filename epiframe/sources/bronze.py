@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -15,10 +16,8 @@ def header_of(spark: SparkSession, path: str, skip: int = 0) -> list[str]:
 
     Reads the first lines only.
     """
-    lines = spark.read.option("wholetext", False).text(path).limit(skip + 1).collect()
-    first = spark.createDataFrame([(lines[skip][0],)], "line string")
-    parsed = first.select(F.split("line", ",").alias("names")).first()["names"]
-    return [name.strip().strip('"').lstrip("﻿") for name in parsed]
+    line = spark.read.text(path).take(skip + 1)[skip][0]
+    return [name.strip() for name in next(csv.reader([line.lstrip("\ufeff")]))]
 
 
 def read_case_file(

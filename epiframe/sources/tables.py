@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from epiframe.contracts import GOLD, LOAD_ORDER, SILVER
 from epiframe.operators.quality import apply_defaults, table_violations
+from epiframe.plans.silver import Silver
 
 
 class ContractError(ValueError):
@@ -53,21 +54,26 @@ def violations(tables: Mapping[str, DataFrame], names: Iterable[str] = LOAD_ORDE
     return reduce(DataFrame.unionByName, [table_violations(dict(tables), name) for name in names])
 
 
-def load_silver(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, strict: bool = True) -> dict[str, int]:
+def load_silver(spark: SparkSession, source: Silver | Mapping[str, DataFrame], root: str, strict: bool = True) -> dict[str, int]:
     """Full refresh of the nine tables as a new version under ``root``.
 
-    All tables are written, read back and checked before readers see any of them; a contract
+    Parents are written first and, when ``source`` derives the tables, children look them up
+    as written. Readers see the version only after all tables passed their contract; a
     violation leaves the published version as it was. With ``strict=False`` violations are
     published along, as files without constraints would.
     """
     version = f"v-{uuid.uuid4().hex}"
     staged = f"{root}/{version}"
-    ready = {n: blank_as_null(apply_defaults(tables[n], SILVER[n])) for n in LOAD_ORDER}
-    counts = write_tables(ready, staged)
+    counts = {}
+    for name in LOAD_ORDER:
+        df = source.table(name) if isinstance(source, Silver) else source[name]
+        path = f"{staged}/{name}"
+        counts[name] = write_counted(blank_as_null(apply_defaults(df, SILVER[name])), path)
+        if isinstance(source, Silver):
+            source.replace(name, spark.read.parquet(path), counts[name])
     if strict:
-        written = read_tables(spark, staged)
         # One row per rule of nine fixed contracts.
-        broken = violations(written).filter("n_violacoes > 0").collect()
+        broken = violations(read_tables(spark, staged)).filter("n_violacoes > 0").collect()
         if broken:
             raise ContractError([tuple(row) for row in broken])
     publish(spark, root, version)

@@ -14,7 +14,7 @@ from epiframe.operators import audit, cluster, dedup, ingest, quality, solvers,
 from epiframe.operators.ids import dense_id
 from epiframe.plans import dashboard, views
 from epiframe.plans.silver import Silver
-from epiframe.session import shared_dir
+from epiframe.session import cut_lineage, shared_dir
 from epiframe.streaming import ingest as streaming
 from workload import model
 from workload.model import STUDY, table
@@ -705,7 +705,7 @@ _CHANGE_SQL = """SELECT avg(casos) AS media_recente, (SELECT avg(yhat) FROM fore
     series="whole", whole=_WHOLE,
 )
 def _(spark, sf):
-    weekly = _filled(spark, sf)
+    weekly = cut_lineage(_filled(spark, sf))
     change = dashboard.forecast_change(weekly, timeseries.forecast_trend_seasonal(weekly))
     return rounded(change, "media_recente", "media_prevista", "variacao_previsao")
 
@@ -790,11 +790,12 @@ def _(spark, sf):
 # --- insights ------------------------------------------------------------------------------------------
 def _core(spark, sf):
     base = model.silver(spark, sf).base("classificacao_final", "evolucao_caso", "idade_gestacional")
-    weekly = _weekly(spark, sf)
+    # Each statistics table is read for several figures, so it is written first.
+    weekly = cut_lineage(_weekly(spark, sf))
     filled = timeseries.fill_weeks(weekly)
     return dashboard.insights_core(
         base, filled, timeseries.seasonal_profile(weekly), timeseries.forecast_trend_seasonal(filled),
-        _trend(spark, sf), _clusters(spark, sf),
+        cut_lineage(_trend(spark, sf)), cut_lineage(_clusters(spark, sf)),
     )
 
 
