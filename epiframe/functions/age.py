@@ -10,33 +10,29 @@ from epiframe.contracts import AGE_BANDS, BAND_ORDER, LAST_BAND
 UNITS_PER_YEAR = {4: 1, 3: 12, 2: 365, 1: 8760}
 
 
-def _split(code: Column, top: int) -> tuple[Column, Column]:
-    """Leading digit and remaining digits of a code with at least two digits below ``top``."""
-    wide = code.cast("int")
-    scale = F.when((wide >= 10) & (wide < 100), 10)
-    for power in (100, 1000, 10000):
-        if power < top:
-            scale = scale.when((wide >= power) & (wide < power * 10), power)
-    return F.floor(wide / scale).cast("int"), wide % scale
+def _decode(code: Column, scales: tuple[int, ...], years) -> Column:
+    """First branch whose range holds the code: its unit digit and number of digits are fixed
+    there, so ``years(quantity, units per year)`` is plain arithmetic."""
+    value = code.cast("int")
+    out = None
+    for scale in scales:
+        for digit, per_year in UNITS_PER_YEAR.items():
+            inside = (value >= digit * scale) & (value < (digit + 1) * scale)
+            result = years(value - digit * scale, per_year)
+            out = F.when(inside, result) if out is None else out.when(inside, result)
+    return out
 
 
 def age_years(code: Column) -> Column:
     """Age as DECIMAL(8,2), half-up; NULL for unknown units and codes not of 2 to 4 digits."""
-    unit, quantity = _split(code, 10_000)
-    exact = quantity.cast("decimal(8,2)")
-    out = F.lit(None).cast("decimal(8,2)")
-    for digit, per_year in UNITS_PER_YEAR.items():
-        out = F.when(unit == digit, F.round(exact / F.lit(per_year), 2).cast("decimal(8,2)")).otherwise(out)
-    return out
+    return _decode(
+        code, (1000, 100, 10), lambda q, n: F.round(q.cast("decimal(8,2)") / F.lit(n), 2).cast("decimal(8,2)")
+    )
 
 
 def age_years_double(code: Column) -> Column:
     """Age as DOUBLE rounded to two places; all digits after the first are the quantity."""
-    unit, quantity = _split(code, 100_000)
-    out = F.lit(None).cast("double")
-    for digit, per_year in UNITS_PER_YEAR.items():
-        out = F.when(unit == digit, F.round(quantity.cast("double") / F.lit(float(per_year)), 2)).otherwise(out)
-    return out
+    return _decode(code, (1000, 100, 10, 10000), lambda q, n: F.round(q.cast("double") / F.lit(float(n)), 2))
 
 
 def age_band(age: Column, null_band: str | None = LAST_BAND) -> Column:

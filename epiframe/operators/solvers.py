@@ -12,7 +12,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, GroupedData, functions as F
 
 from epiframe.contracts import HORIZON_WEEKS, SEASON_WEEKS
 
@@ -20,6 +20,11 @@ from epiframe.contracts import HORIZON_WEEKS, SEASON_WEEKS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def _per_series(series: DataFrame, by: Sequence[str]) -> GroupedData:
+    slim = series.select(*by, "semana", "casos")
+    return slim.groupBy(*by) if by else slim.withColumn("__one", F.lit(0)).groupBy("__one")
+
+
 # --- local regression -----------------------------------------------------------------
 def loess(y: np.ndarray, span: int, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Degree-one local regression of equally spaced ``y`` at positions ``at``.
@@ -101,8 +106,7 @@ def stl_by_key(series: DataFrame, by: Sequence[str] = (), period: int = SEASON_W
         out["tendencia"], out["sazonalidade"], out["residuo"] = trend, season, y - trend - season
         return out
 
-    group = list(by) or [F.lit(0)]
-    solved = series.select(*by, "semana", "casos").groupBy(*group).applyInPandas(solve, schema)
+    solved = _per_series(series, by).applyInPandas(solve, schema)
     numbers = ("tendencia", "sazonalidade", "residuo")
     return solved.select(*by, "semana", "casos", *[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in numbers])
 
@@ -157,5 +161,4 @@ def forecast_by_key(
             out.insert(i, name, pdf[name].iloc[0])
         return out
 
-    group = list(by) or [F.lit(0)]
-    return series.select(*by, "semana", "casos").groupBy(*group).applyInPandas(solve, schema)
+    return _per_series(series, by).applyInPandas(solve, schema)

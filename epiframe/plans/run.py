@@ -7,7 +7,6 @@ import logging
 from pyspark.sql import SparkSession
 
 from epiframe.contracts import STUDY_END, STUDY_START
-from epiframe.plans.dashboard import build_base
 from epiframe.plans.gold import gold_tables
 from epiframe.plans.silver import Silver
 from epiframe.sources.bronze import read_case_file, read_gazetteer
@@ -30,7 +29,10 @@ def run(
     silver = Silver(spark.read.parquet(f"{bronze_root}/casos"), read_gazetteer(spark, gazetteer, gazetteer_skip))
     counts |= load_silver(spark, silver, silver_root, strict)
     tables = published(spark, silver_root)
-    base = build_base(tables["notificacoes_casos"], tables["pacientes"], tables["ufs"])
+    # The denormalised table comes from the records again, so patients and cases are never
+    # joined; the order inside each file lets date filters skip row groups.
+    counts["base"] = write_counted(silver.base().sortWithinPartitions("data_notificacao"), f"{gold_root}/base")
+    base = spark.read.parquet(f"{gold_root}/base")
     counts |= write_tables(gold_tables(base, tables["municipios"], tables["ufs"], study, restarts=restarts), gold_root)
     for name, n in counts.items():
         log.info("%s: %d rows", name, n)
