@@ -14,7 +14,7 @@ _DATE_PART = r"^(\d{4}[-/ ]\d{1,2}[-/ ]\d{1,2})"
 
 def nullify(c: Column) -> Column:
     """Trimmed text, with the empty string and the null mark as NULL."""
-    return F.nullif(F.nullif(F.trim(c), F.lit("")), F.lit(NULL_MARK))
+    return F.when(~F.trim(c).isin("", NULL_MARK), F.trim(c))
 
 
 def not_sentinel(c: Column, *extra: str) -> Column:
@@ -25,15 +25,18 @@ def not_sentinel(c: Column, *extra: str) -> Column:
 def to_int(c: Column, type_name: str) -> Column:
     """Lenient integer parse: rounds decimals and exponents, NULL when malformed or too big.
 
-    Plain digits take the cheap cast; only the rest pays for the pattern.
+    Plain digits take the cheap cast; only the rest pays for the pattern. Blank text and the
+    null mark are malformed, so they need no ``nullify`` first.
     """
-    text = F.trim(c)
-    decimal = F.round(text.try_cast("double")).try_cast(type_name)
-    return F.coalesce(c.try_cast(type_name), F.when(text.rlike(_NUMBER), decimal))
+    decimal = F.round(c.try_cast("double")).try_cast(type_name)
+    return F.coalesce(c.try_cast(type_name), F.when(F.trim(c).rlike(_NUMBER), decimal))
 
 
 def to_date(c: Column) -> Column:
-    """Lenient date parse: ``-``, ``/`` or blank between the parts, optional time of day."""
+    """Lenient date parse: ``-``, ``/`` or blank between the parts, optional time of day.
+
+    Blank text and the null mark give NULL.
+    """
     text = F.trim(c)
     part = F.regexp_replace(F.regexp_extract(text, _DATE_PART, 1), "[/ ]", "-")
     iso = text.rlike(r"^\d{4}-\d{2}-\d{2}$")
@@ -42,18 +45,19 @@ def to_date(c: Column) -> Column:
 
 def week_of(c: Column) -> Column:
     """Week number from a ``YYYYWW`` code."""
-    return to_int(F.right(nullify(c), F.lit(2)), "smallint")
+    return to_int(F.right(F.trim(c), F.lit(2)), "smallint")
 
 
 def label(field: str, c: Column | None = None) -> Column:
-    """Label of a coded answer; the code must match exactly, blanks included."""
+    """Label of a coded answer; the code must match exactly, blanks included.
+
+    A literal map keeps the generated code small when many labels are made in one projection.
+    """
     source = F.col(field) if c is None else c
-    codes = iter(LABELS[field].items())
-    code, text = next(codes)
-    branch = F.when(source == code, F.lit(text))
-    for code, text in codes:
-        branch = branch.when(source == code, F.lit(text))
-    return branch.otherwise(F.lit(LABEL_DEFAULTS.get(field)).cast("string"))
+    labels = F.create_map(*[F.lit(x) for pair in LABELS[field].items() for x in pair])
+    found = F.try_element_at(labels, source)
+    default = LABEL_DEFAULTS.get(field)
+    return found if default is None else F.coalesce(found, F.lit(default))
 
 
 def is_marked(c: Column) -> Column:

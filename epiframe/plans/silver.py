@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from epiframe.contracts import LOAD_ORDER, SILVER
 from epiframe.functions.age import age_years_double
 from epiframe.functions.clean import (
-    is_marked, label, not_sentinel, nullify, prefix6, to_date, to_int, week_of,
+    is_marked, label, not_sentinel, prefix6, to_date, to_int, week_of,
 )
 from epiframe.operators.ids import dense_id
 from epiframe.operators.lookup import resolve, resolve_large, resolve_unique, unique_lookup
@@ -24,7 +24,7 @@ class Municipality:
     raw: str
 
     def keys(self) -> list[Column]:
-        return [prefix6(nullify(F.col(self.raw)))]
+        return [prefix6(F.trim(self.raw))]
 
 
 @dataclass(frozen=True)
@@ -57,11 +57,11 @@ class Unit:
     raw: str
 
     def keys(self) -> list[Column]:
-        return [to_int(nullify(F.col(self.raw)), "int")]
+        return [to_int(F.col(self.raw), "int")]
 
 
 def _smallint(name: str) -> Column:
-    return to_int(nullify(F.col(name)), "smallint")
+    return to_int(F.col(name), "smallint")
 
 
 # How each column comes from the raw record. Only the columns asked for are computed, so a
@@ -87,7 +87,7 @@ CASE = {
     "regional_notificacao": Region("codigo_regional", "uf_notificacao"),
     "data_primeiros_sintomas": lambda: to_date(F.col("data_primeiros_sintomas")),
     "semana_primeiros_sintomas": lambda: week_of(F.col("semana_primeiros_sintomas")),
-    "data_investigacao": lambda: to_date(nullify(F.col("data_investigacao"))),
+    "data_investigacao": lambda: to_date(F.col("data_investigacao")),
     "classificacao_final": lambda: label("classificacao_final"),
     "criterio_confirmacao": lambda: label("criterio_confirmacao"),
     "autoctonia": lambda: label("autoctonia"),
@@ -258,9 +258,8 @@ class Silver:
         return df.select(*wanted)
 
     def _dated(self, raw: str, id_name: str) -> DataFrame:
-        text = nullify(F.col(raw))
-        rows = self.bronze.filter(text.isNotNull()).select(
-            F.col("row_id").alias("notificacao_id"), to_date(text).alias(raw)
+        rows = self.bronze.filter(not_sentinel(F.col(raw))).select(
+            F.col("row_id").alias("notificacao_id"), to_date(F.col(raw)).alias(raw)
         )
         return dense_id(rows, "notificacao_id", id_name)
 
