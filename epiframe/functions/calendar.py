@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 
 def week_start(c: Column) -> Column:
     """Monday of the week, as a date."""
-    return F.date_trunc("week", c).cast("date")
+    return F.trunc(c.cast("date"), "week")
 
 
 def iso_week(c: Column) -> Column:

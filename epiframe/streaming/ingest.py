@@ -34,10 +34,16 @@ def stream_ingest(
 
 
 def weekly_windows(stream: DataFrame, time: str, delay: str = "14 days", by: tuple[str, ...] = ()) -> DataFrame:
-    """Records per Monday week of an event-time column; state older than ``delay`` is dropped."""
-    week = F.window(F.col(time), "7 days", startTime="4 days")
-    counted = stream.withWatermark(time, delay).groupBy(*by, week).agg(F.count("*").alias("casos"))
-    return counted.select(*by, F.col("window.start").cast("date").alias("semana"), "casos")
+    """Records per Monday week of an event-time column; state older than ``delay`` is dropped.
+
+    Windows are laid over the local wall clock, so that weeks start on Monday midnight in any
+    session time zone.
+    """
+    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    local = stream.withColumn("__local", F.from_utc_timestamp(F.col(time).cast("timestamp"), zone))
+    week = F.window("__local", "7 days", startTime="4 days").alias("week")
+    counted = local.withWatermark("__local", delay).groupBy(*by, week).agg(F.count("*").alias("casos"))
+    return counted.select(*by, F.to_utc_timestamp("week.start", zone).cast("date").alias("semana"), "casos")
 
 
 def weekly_confirmed(stream: DataFrame, time: str, delay: str = "14 days") -> DataFrame:

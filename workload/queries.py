@@ -869,6 +869,62 @@ def _(spark, sf):
     return dashboard.insights_selected(_core(spark, sf))
 
 
+# --- the same operators on the given tables as they are ------------------------------------------------------
+@query(
+    "star_weekly_orders",
+    """SELECT d.o_orderstatus, d.semana, coalesce(w.casos, 0) AS casos
+       FROM (SELECT o_orderstatus, CAST(unnest(generate_series(min(semana), max(semana), INTERVAL 7 DAY)) AS DATE) AS semana
+             FROM weeks GROUP BY o_orderstatus) d
+       LEFT JOIN weeks w ON w.o_orderstatus = d.o_orderstatus AND w.semana = d.semana""",
+    weeks="SELECT o_orderstatus, CAST(date_trunc('week', o_orderdate) AS DATE) AS semana, count(*) AS casos FROM orders GROUP BY 1, 2",
+)
+def _(spark, sf):
+    counts = timeseries.weekly_counts(table(spark, sf, "orders"), ["o_orderstatus"], "o_orderdate")
+    return timeseries.fill_weeks(counts, ["o_orderstatus"])
+
+
+@query(
+    "star_ship_profile",
+    """SELECT l_returnflag, CAST(weekofyear(semana) AS INTEGER) AS semana_epi, round(avg(casos), 6) AS media_casos
+       FROM (SELECT l_returnflag, CAST(date_trunc('week', l_shipdate) AS DATE) AS semana, count(*) AS casos FROM lineitem GROUP BY 1, 2)
+       GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    counts = timeseries.weekly_counts(table(spark, sf, "lineitem"), ["l_returnflag"], "l_shipdate")
+    return rounded(timeseries.seasonal_profile(counts, ["l_returnflag"]), "media_casos")
+
+
+@query(
+    "star_trend_nation",
+    f"SELECT uf, anos_com_dados, total_casos, {_r('tendencia_casos_ano', 'r2', 'p_value')} FROM trend",
+    uf_years="""SELECT n.n_name AS sigla, year(o.o_orderdate) AS ano, count(*) AS total_casos FROM orders o
+        JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    orders = table(spark, sf, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("ano")).agg(F.count("*").alias("n"))
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    per_nation = orders.join(customers, "o_custkey").groupBy("c_nationkey", "ano").agg(F.sum("n").alias("total_casos"))
+    names = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("sigla"))
+    return rounded(trend.yearly_trend(per_nation.join(names, "c_nationkey")), "tendencia_casos_ano", "r2", "p_value")
+
+
+@query(
+    "star_repeated_lines",
+    "SELECT l_orderkey, l_linenumber, count(*) AS n_linhas FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
+)
+def _(spark, sf):
+    return quality.check_unique(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query(
+    "star_lines_without_event",
+    """SELECT l_orderkey AS chave, count(*) AS n_linhas FROM lineitem l
+       WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.event_id = l.l_orderkey) GROUP BY 1""",
+)
+def _(spark, sf):
+    return quality.check_fk(table(spark, sf, "lineitem"), "l_orderkey", table(spark, sf, "events"), "event_id")
+
+
 # --- models without a SQL form -----------------------------------------------------------------------------
 @query("stl_by_key")
 def _(spark, sf):
@@ -926,7 +982,7 @@ def _(spark, sf):
     """SELECT event_type, CAST(date_trunc('week', ts) AS DATE) AS semana, count(*) AS casos FROM events GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    arriving = _stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    arriving = _stream(spark, sf, "events")
     out = _scratch(spark, "weekly")
     counts = streaming.weekly_windows(arriving, "ts", by=("event_type",))
     streaming.write_windows(counts, f"{out}/counts", f"{out}/checkpoint").awaitTermination()
