@@ -21,32 +21,59 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _per_series(series: DataFrame, by: Sequence[str]) -> GroupedData:
+    """Series grouped for a solver.
+
+    A counted series is few bytes but much work, so the partition count is fixed here: sized
+    by bytes, the runtime would put many series into one task.
+    """
     slim = series.select(*by, "semana", "casos")
-    return slim.groupBy(*by) if by else slim.withColumn("__one", F.lit(0)).groupBy("__one")
+    if not by:
+        return slim.withColumn("__one", F.lit(0)).groupBy("__one")
+    tasks = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return slim.repartition(tasks, *by).groupBy(*by)
 
 
 # --- local regression -----------------------------------------------------------------
 def loess(y: np.ndarray, span: int, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Degree-one local regression of equally spaced ``y`` at positions ``at``.
+    """Degree-one local regression of equally spaced values at positions ``at``.
 
-    Tricube weights over the ``span`` nearest points, times ``weights``; a span longer than
-    the series widens the neighbourhood in proportion.
+    ``y`` and ``weights`` hold one series per row. Tricube weights over the ``span`` nearest
+    points, times ``weights``; a span longer than the series widens the neighbourhood.
     """
-    n = len(y)
+    n = y.shape[1]
     width = min(span, n)
     left = np.clip(np.floor(at - (width - 1) / 2 + 0.5).astype(int), 0, n - width)
     index = left[:, None] + np.arange(width)[None, :]
     gap = np.abs(index - at[:, None])
     reach = np.maximum(gap.max(axis=1), 1e-12) + max(0, (span - n) // 2)
     ratio = gap / reach[:, None]
-    w = np.where(ratio <= 0.999, np.where(ratio <= 0.001, 1.0, (1 - ratio**3) ** 3), 0.0)
-    w = w * weights[index]
-    mass = w.sum(axis=1, keepdims=True)
+    near = np.where(ratio <= 0.999, np.where(ratio <= 0.001, 1.0, (1 - ratio**3) ** 3), 0.0)
+    w = near[None] * weights[:, index]
+    mass = w.sum(axis=2, keepdims=True)
     w = np.divide(w, mass, out=np.full_like(w, 1.0 / width), where=mass > 0)
-    centre = (w * index).sum(axis=1, keepdims=True)
-    spread = (w * (index - centre) ** 2).sum(axis=1, keepdims=True)
-    tilt = np.divide(at[:, None] - centre, spread, out=np.zeros_like(centre), where=np.sqrt(spread) > 0.001 * (n - 1))
-    return (w * (1 + tilt * (index - centre)) * y[index]).sum(axis=1)
+    centre = (w * index).sum(axis=2, keepdims=True)
+    spread = (w * (index - centre) ** 2).sum(axis=2, keepdims=True)
+    wide = np.sqrt(spread) > 0.001 * (n - 1)
+    tilt = np.divide(at[None, :, None] - centre, spread, out=np.zeros_like(centre), where=wide)
+    return (w * (1 + tilt * (index - centre)) * y[:, index]).sum(axis=2)
+
+
+def _smooth(y: np.ndarray, span: int, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return loess(y[None], span, at, weights[None])[0]
+
+
+def _smooth_phases(y: np.ndarray, period: int, span: int, weights: np.ndarray) -> np.ndarray:
+    """Each position of the period smoothed as a series of its own, one step longer at both
+    ends; positions with the same number of points go together."""
+    n = len(y)
+    out = np.empty(n + 2 * period)
+    full = n // period
+    for phases, count in ((np.arange(n % period), full + 1), (np.arange(n % period, period), full)):
+        if len(phases):
+            rows = phases[:, None] + period * np.arange(count)[None, :]
+            around = np.arange(-1, count + 1, dtype=float)
+            out[phases[:, None] + period * np.arange(count + 2)[None, :]] = loess(y[rows], span, around, weights[rows])
+    return out
 
 
 def _average(x: np.ndarray, k: int) -> np.ndarray:
@@ -70,15 +97,10 @@ def stl(y: np.ndarray, period: int, season_span: int = 7, robust: bool = True) -
     trend, season = np.zeros(n), np.zeros(n)
     for loop in range(outer + 1):
         for _ in range(inner):
-            detrended = y - trend
-            cycle = np.empty(n + 2 * period)
-            for phase in range(period):
-                part = detrended[phase::period]
-                around = np.arange(-1, len(part) + 1, dtype=float)
-                cycle[phase::period][: len(around)] = loess(part, season_span, around, weights[phase::period])
+            cycle = _smooth_phases(y - trend, period, season_span, weights)
             low = _average(_average(_average(cycle, period), period), 3)
-            season = cycle[period : period + n] - loess(low, low_span, places, ones)
-            trend = loess(y - season, trend_span, places, weights)
+            season = cycle[period : period + n] - _smooth(low, low_span, places, ones)
+            trend = _smooth(y - season, trend_span, places, weights)
         if loop < outer:
             rest = np.abs(y - trend - season)
             scale = 6 * np.median(rest)

@@ -51,7 +51,7 @@ def _r(*columns: str, digits: int = 6) -> str:
 # --- silver ------------------------------------------------------------------------------
 def _silver_table(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return model.silver(spark, sf).tables()[name]
+        return model.silver(spark, sf).table(name)
 
     return run
 
@@ -187,10 +187,9 @@ _RAW_KEYS = {
 )
 def _(spark, sf):
     s = model.silver(spark, sf)
-    tables = s.tables()
     codes = s.bronze.select(*[to_int(nullify(F.col(c)), t).cast("long").alias(c) for c, (t, _) in _RAW_KEYS.items()])
     parts = [
-        quality.check_fk(codes.select(c), c, tables[p], SILVER[p].key, p in BOUNDED_TABLES).select(
+        quality.check_fk(codes.select(c), c, s.table(p), SILVER[p].key, p in BOUNDED_TABLES).select(
             F.lit(c).alias("coluna"), "chave", "n_linhas"
         )
         for c, (_, p) in _RAW_KEYS.items()
