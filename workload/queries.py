@@ -506,11 +506,10 @@ query("dash_weekly", _WEEKLY_SQL)(_dash_weekly)
     "weekly_plot",
     f"""SELECT *, round(ano_sintomas + (semana_primeiros_sintomas - 1) / 52, 6) AS periodo,
                ano_sintomas || '-S' || lpad(CAST(semana_primeiros_sintomas AS VARCHAR), 2, '0') AS rotulo
-        FROM ({_WEEKLY_SQL}) WHERE semana_primeiros_sintomas IS NOT NULL""",
+        FROM ({_WEEKLY_SQL})""",
 )
 def _(spark, sf):
-    weeks = _dash_weekly(spark, sf).filter(F.col("semana_primeiros_sintomas").isNotNull())
-    return rounded(dashboard.weekly_plot(weeks), "periodo")
+    return rounded(dashboard.weekly_plot(_dash_weekly(spark, sf)), "periodo")
 
 
 _UF_YEAR_SQL = f"SELECT sigla, ano, count(*) AS total_casos FROM base WHERE {_SURE} AND {_SCOPE} GROUP BY 1, 2"
