@@ -205,7 +205,7 @@ class Join:
         self.sets = sets if self.sets is None else self.sets.unionByName(sets)
 
     def verify(self, pairs: DataFrame) -> bool:
-        """Add those of ``pairs`` that are similar enough to the links; whether there are any pairs."""
+        """Add those of ``pairs`` that are similar enough to the links; whether there are new ones."""
         pairs = self.scratch.cut(pairs, "pairs")
         if not pairs.limit(1).count():
             return False
@@ -223,6 +223,8 @@ class Join:
 
         left, right = (self.sets.select(F.col("node").alias(k), F.col("tokens").alias(t)) for k, t in (("a", "x"), ("b", "y")))
         found = self.scratch.cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(test, "a binary, b binary"), "links")
+        if not found.limit(1).count():
+            return False
         self.links = found if self.links is None else self.links.unionByName(found)
         return True
 

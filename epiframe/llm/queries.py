@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from epiframe.llm import bpe, jaccard, lines, packing, quality, repeats, sharding
+from epiframe.llm import ann, bpe, jaccard, lines, packing, quality, repeats, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@register("op1_cross_polytope")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest of every hundredth vector, among all others."""
+    return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=100, k=10)
+
+
 LINES_SQL = """
 WITH l AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),

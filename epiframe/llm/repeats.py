@@ -110,7 +110,7 @@ def _finer(held: DataFrame, width: int, threshold: int, gram: int) -> DataFrame:
     return held.mapInArrow(run, "doc_id long, text_hash long, anchor long, low long, high long, rank long, whole long")
 
 
-def repeated_windows(docs: DataFrame, threshold: int, gram: int, scratch: Scratch) -> DataFrame:
+def repeated_windows(docs: DataFrame, threshold: int, gram: int, keep_first: bool, scratch: Scratch) -> DataFrame:
     """doc_id, text_hash, low, high: ranges of starts of ``threshold`` bytes that stand elsewhere too.
 
     ``docs`` has doc_id, text_hash and text; a pair of the first two names a text.
@@ -126,8 +126,11 @@ def repeated_windows(docs: DataFrame, threshold: int, gram: int, scratch: Scratc
         classes = alive.groupBy("rank", "whole").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "anchor", "low", "high")).alias("one"))
         classes = scratch.cut(classes, "classes")
-        several = classes.filter("n > 1").select("rank", "whole")
-        found.append(scratch.cut(alive.join(several, ["rank", "whole"], "left_semi").select(*KEY, "low", "high"), "found"))
+        several = classes.filter("n > 1").select("rank", "whole", "one")
+        copies = alive.join(several, ["rank", "whole"])
+        if keep_first:  # the first of a class is the first of all its strings, and goes on as such
+            copies = copies.filter(~F.struct(*KEY, "anchor", "low", "high").eqNullSafe(F.col("one")))
+        found.append(scratch.cut(copies.select(*KEY, "low", "high"), "found"))
         if width is None:
             break
         mixed = classes.groupBy("rank").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("rank")
@@ -151,11 +154,15 @@ def repeated_windows(docs: DataFrame, threshold: int, gram: int, scratch: Scratc
     return out
 
 
-def remove_repeats(docs: DataFrame, threshold: int = 200, gram: int = 72) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, threshold: int = 200, gram: int = 72, keep_first: bool = False, whole_characters: bool = False,
+) -> DataFrame:
     """Documents with ``spans``, the byte ranges to remove, and ``kept``, the bytes that stay.
 
     A byte is removed if a string of ``threshold`` UTF-8 bytes that covers it also starts anywhere
-    else, in the same document or another, overlapping or not. Strings are judged on the input. Null text:
+    else, in the same document or another, overlapping or not. Strings are judged on the input. With
+    ``keep_first`` the first copy of each string, by doc_id, text hash and place, doesn't count as
+    such and stays; with ``whole_characters`` a range leaves a character that it cuts. Null text:
     as empty; rows that repeat doc_id and text stand for texts of their own, so each is a repeat of
     the other; an empty table gives no rows; input columns named spans or kept give way.
     Result: the columns of ``docs``, spans (array of start and end, maximal), kept (binary).
@@ -164,7 +171,7 @@ def remove_repeats(docs: DataFrame, threshold: int = 200, gram: int = 72) -> Dat
     columns = [c for c in docs.columns if c not in ("spans", "kept")]
     rows = docs.select(*columns).withColumn("text_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     light = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text_hash", "text")
-    windows = repeated_windows(light, threshold, gram, scratch)
+    windows = repeated_windows(light, threshold, gram, keep_first, scratch)
     marks = windows.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("marks"))  # bounded by the text
     marks = scratch.cut(marks, "marks").select(F.col("doc_id").alias("m_doc"), F.col("text_hash").alias("m_hash"), "marks")
     joined = rows.join(marks, rows.doc_id.eqNullSafe(F.col("m_doc")) & (rows.text_hash == F.col("m_hash")), "left").select(
@@ -180,6 +187,8 @@ def remove_repeats(docs: DataFrame, threshold: int = 200, gram: int = 72) -> Dat
                 for at, (low, high) in enumerate(zip(part.column("low"), part.column("high"), strict=True)):
                     text = raw[starts[at] : starts[at + 1]]
                     gone = merge(low.values.to_numpy(), high.values.to_numpy() + threshold) if low.is_valid else np.zeros((0, 2), np.int64)
+                    if whole_characters and len(gone):
+                        gone = inside_characters(text, gone)
                     spans.append([{"start": a, "end": b} for a, b in gone.tolist()])
                     edges = [0, *gone.ravel().tolist(), len(text)]
                     kept.append(b"".join(text[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2], strict=True)))
@@ -196,3 +205,11 @@ def merge(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     start, reach = start[order], np.maximum.accumulate(end[order])
     new = np.flatnonzero(np.append(True, start[1:] > reach[:-1]))
     return np.column_stack([start[new], reach[np.append(new[1:], len(start)) - 1]])
+
+
+def inside_characters(text: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    """The ranges without the parts of characters at their edges."""
+    heads = np.append(np.flatnonzero((text & 0xC0) != 0x80), len(text))
+    start = heads[np.searchsorted(heads, ranges[:, 0])]
+    end = heads[np.searchsorted(heads, ranges[:, 1], "right") - 1]
+    return np.column_stack([start, end])[start < end]
