@@ -22,6 +22,8 @@ BLANK = np.zeros(256, bool)
 BLANK[list(SPACES.encode())] = True
 #: A token in this share of all documents, at least, comes after all rarer ones in the order.
 FREQUENT = 1 / 1000
+#: Rounds of links to leaders before the exact comparison of what is left; they only spare it work.
+ROUNDS, CENTRAL_ROUNDS = 6, 2
 
 
 def shingle_sets(raw: np.ndarray, starts: np.ndarray, size: int) -> list[np.ndarray]:
@@ -66,7 +68,7 @@ def _sets(docs: DataFrame, size: int, body, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         for batch in batches:
-            for first, end, raw, starts in blocks(batch, limit=1 << 21):
+            for first, end, raw, starts in blocks(batch, limit=1 << 20):
                 yield from body(batch.slice(first, end - first), shingle_sets(raw, starts, size))
 
     return docs.mapInArrow(run, schema)
@@ -144,14 +146,23 @@ class Join:
         self.reps = self.scratch.cut(
             self.members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "reps")
         postings = self.reps.select("node", "n", F.explode("prefix").alias("token"))
-        shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("token")
-        self.lists = self.scratch.cut(postings.join(shared, "token", "left_semi"), "lists")
+        shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+        lists = self.scratch.cut(postings.join(shared, "token"), "shared")
+        # The original of a group of near copies shares more of its prefix than copies with edits do.
+        weights = lists.groupBy("node").agg(F.sum(F.log("df")).alias("weight"))
+        weights = weights.join(self.reps.select("node", F.size("prefix").alias("size")), "node").select("node", (F.col("weight") / F.col("size")).alias("weight"))
+        self.lists = self.scratch.cut(lists.drop("df").join(weights, "node"), "lists")
+        self.scratch.drop(lists)
         self.sketches = self.reps.select("node", "n", F.transform("prefix", lambda x: (x.bitwiseAND(65535) - 32768).cast("short")).alias("sketch"))
         self.sets: DataFrame | None = None
         self.links: DataFrame | None = None
+        self.tested: DataFrame | None = None
 
     def candidates(self, round_: int, labels: DataFrame | None) -> DataFrame:
-        """Pairs of each set with the leaders of its blocks of lists, the most frequent two each."""
+        """Pairs of each set with the leaders of its blocks of lists, the most frequent two each.
+
+        Leaders are the most central sets in the first rounds, and drawn by hash in later ones.
+        """
         entries = self.lists
         if labels is None:
             entries = entries.withColumn("label", F.col("node"))
@@ -160,8 +171,9 @@ class Join:
         # Blocks of like size: sets a tenth apart at most lie in one block in at least every other round.
         width = math.log(100 / self.percent) * 2
         block = F.floor(F.log(F.col("n").cast("double")) / width + round_ / 2)
-        entries = entries.select("token", "node", "n", "label", block.alias("block"))
-        lead = F.min(F.struct(F.xxhash64("node", F.lit(round_)).alias("h"), "node", "n", "label"))
+        entries = entries.select("token", "node", "n", "label", "weight", block.alias("block"))
+        central = -F.col("weight") if round_ < CENTRAL_ROUNDS else F.lit(0.0)
+        lead = F.min(F.struct(central.alias("w"), F.xxhash64("node", F.lit(round_)).alias("h"), "node", "n", "label"))
         leaders = entries.groupBy("token", "block").agg(lead.alias("lead"), F.min("label").alias("least"), F.max("label").alias("most"))
         leaders = leaders.filter("least <> most").select("token", "block", "lead")
         pairs = entries.join(leaders, ["token", "block"]).filter(
@@ -206,7 +218,10 @@ class Join:
 
     def verify(self, pairs: DataFrame) -> bool:
         """Add those of ``pairs`` that are similar enough to the links; whether there are new ones."""
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = self.scratch.cut(pairs, "pairs")
+        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         if not pairs.limit(1).count():
             return False
         self.fetch(pairs)
@@ -243,10 +258,11 @@ class Join:
     def classes(self) -> DataFrame:
         """node, label for every set that has a link."""
         labels = None
-        for round_ in range(3):
-            if not self.verify(self.candidates(round_, labels)):
+        for round_ in range(ROUNDS):
+            if self.verify(self.candidates(round_, labels)):
+                labels = components(self.links, self.scratch)
+            elif round_ >= CENTRAL_ROUNDS:
                 break
-            labels = components(self.links, self.scratch)
         if self.verify(self.remaining(labels)):
             labels = components(self.links, self.scratch)
         return labels

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from epiframe.llm import ann, bpe, jaccard, lines, packing, quality, repeats, sharding
+from epiframe.llm import ann, bpe, jaccard, lines, lm, packing, quality, repeats, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,29 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=100, k=10)
 
 
+def remainder(modulus: int):
+    """crc32 of the id as text, modulo ``modulus``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@register("op2_elias_fano_trie")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all texts under a model of the training part."""
+    held_out = remainder(7) == 2
+    return lm.train_and_score(documents(spark, sf_dir).select("doc_id", "text"), held_out).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@register("op3_bigru_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all whole texts, learnt from the labels of the training part."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False))
+    scorer = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
+    return toxicity.score(docs, scorer).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_windows")
+
+
 LINES_SQL = """
 WITH l AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
