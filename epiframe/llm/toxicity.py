@@ -204,7 +204,7 @@ def _highest(network: Network, forward: np.ndarray, backward: np.ndarray, flat:
     return out
 
 
-def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 5, seed: int = 11) -> Scorer:
+def fit(texts: list[bytes], labels: np.ndarray, steps: int = 200, seed: int = 11) -> Scorer:
     """Train on whole labelled texts; the windows with the most evidence stand for texts of label 1."""
     if not len(labels) or labels.min() == labels.max():
         return Scorer(None, 0.0, 1.0, float(labels[0]) if len(labels) else 0.0)
@@ -233,10 +233,10 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 5, seed: int = 11)
     network = Network(seed)
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in network.p.items()}
     step = 0
-    for _ in range(epochs):
+    while step < steps:
         chosen = np.concatenate([positive, hard, rng.choice(negative, min(len(negative), 2 * len(positive)), replace=False)])
         rng.shuffle(chosen)
-        for a in range(0, len(chosen), 128):
+        for a in range(0, len(chosen), 128)[: steps - step]:
             own = chosen[a : a + 128]
             tokens, m = at[:, own], mask[:, own]
             used, inverse = np.unique(tokens, return_inverse=True)
