@@ -204,7 +204,7 @@ def _highest(network: Network, forward: np.ndarray, backward: np.ndarray, flat:
     return out
 
 
-def fit(texts: list[bytes], labels: np.ndarray, steps: int = 200, seed: int = 11) -> Scorer:
+def fit(texts: list[bytes], labels: np.ndarray, steps: int = 400, seed: int = 11) -> Scorer:
     """Train on whole labelled texts; the windows with the most evidence stand for texts of label 1."""
     if not len(labels) or labels.min() == labels.max():
         return Scorer(None, 0.0, 1.0, float(labels[0]) if len(labels) else 0.0)

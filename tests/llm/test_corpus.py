@@ -286,10 +286,10 @@ def test_toxicity(spark, empty):
     for i in range(400):
         w = prose(i + 50, 60 + i % 50).split()
         if i % 4 == 0:
-            w[int(rng.integers(0, len(w)))] = f"vile{rng.integers(0, 10**4)}"
+            w[int(rng.integers(0, len(w)))] = ["vile", "brutish", "nastily"][i % 3]
         rows.append((i, " ".join(w)))
         marks.append((i, int(i % 4 == 0)))
-    rows += [(900, None), (901, ""), (902, "... !"), (903, prose(1, 5000) + " vile77")]
+    rows += [(900, None), (901, ""), (902, "... !"), (903, prose(1, 5000) + " vile")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([*marks, (None, 1), (5, None)], "doc_id long, toxic int")
     scorer = toxicity.train(df, labels, F.col("doc_id") % 5 != 0)
