@@ -51,13 +51,9 @@ def band_rank(band: Column) -> Column:
 
 def register_age_function(spark: SparkSession) -> None:
     """``idade_anos(code)`` for SQL users; Catalyst inlines the body."""
-    spark.sql("""
-        CREATE OR REPLACE TEMPORARY FUNCTION idade_anos(code SMALLINT) RETURNS DECIMAL(8,2)
-        RETURN CASE WHEN code NOT BETWEEN 10 AND 9999 THEN NULL ELSE
-          CASE left(CAST(code AS STRING), 1)
-            WHEN '4' THEN CAST(substr(CAST(code AS STRING), 2) AS DECIMAL(8,2))
-            WHEN '3' THEN round(CAST(substr(CAST(code AS STRING), 2) AS DECIMAL(8,2)) / 12, 2)
-            WHEN '2' THEN round(CAST(substr(CAST(code AS STRING), 2) AS DECIMAL(8,2)) / 365, 2)
-            WHEN '1' THEN round(CAST(substr(CAST(code AS STRING), 2) AS DECIMAL(8,2)) / 8760, 2)
-          END END
-    """)
+    text, quantity = "CAST(code AS STRING)", "CAST(substr(CAST(code AS STRING), 2) AS DECIMAL(8,2))"
+    units = " ".join(f"WHEN '{digit}' THEN round({quantity} / {per_year}, 2)" for digit, per_year in UNITS_PER_YEAR.items())
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION idade_anos(code SMALLINT) RETURNS DECIMAL(8,2) "
+        f"RETURN CASE WHEN code BETWEEN 10 AND 9999 THEN CASE left({text}, 1) {units} END END"
+    )

@@ -36,11 +36,15 @@ def local_session(cores: str = "8", app: str = "epiframe", **extra: str) -> Spar
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the session names it.
 
-    Only a session without the setting (a test on one machine) gets a folder of its own.
+    Only a local session without the setting gets a folder of its own; a cluster's executors
+    would each write to their own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder all executors share (master {master})")
     fallback = tempfile.mkdtemp(prefix="epiframe-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback

@@ -21,13 +21,17 @@ def header_of(spark: SparkSession, path: str, skip: int = 0) -> list[str]:
 
 
 def read_case_file(
-    spark: SparkSession, path: str | list[str], with_id: bool = True, **options: str
+    spark: SparkSession, path: str | list[str], with_id: bool = True, multi_line: bool = False, **options: str
 ) -> DataFrame:
     """All columns as text, only the mapped ones kept under their domain names.
 
-    ``row_id`` numbers the records from 1 in file order.
+    ``row_id`` numbers the records from 1 in file order. A record with too few or too many fields
+    stops the load, and so does a quoted line break unless ``multi_line`` is set; a file is then
+    one task's work, as its records can't be told apart from within.
     """
-    raw = spark.read.options(header=True, inferSchema=False, enforceSchema=False, **options).csv(path)
+    settings = {"header": True, "inferSchema": False, "enforceSchema": False, "mode": "FAILFAST", "multiLine": multi_line}
+    # With columns pruned, the parser would not see that a record is too short.
+    raw = spark.read.options(**{**settings, "columnPruning": False, **options}).csv(path)
     cases = arrival_id(raw) if with_id else raw
     kept = ["row_id"] if with_id else []
     return cases.select(*kept, *[F.col(f"`{old}`").alias(new) for old, new in CASE_COLUMNS.items()])
@@ -58,10 +62,7 @@ def read_gazetteer(spark: SparkSession, path: str, skip: int = 6) -> DataFrame:
     rows = spark.read.schema(schema).csv(path)
     picked = gazetteer_columns(names)
     # Title lines and the header have no numeric municipality code.
-    body = rows.filter(
-        F.col(f"`{picked['municipio_id']}`").isNotNull()
-        & (F.col(f"`{picked['municipio_id']}`") != picked["municipio_id"])
-    )
+    body = rows.filter(F.trim(F.col(f"`{picked['municipio_id']}`")).rlike("^[0-9]+$"))
     return body.select(*[F.col(f"`{old}`").alias(new) for new, old in picked.items()])
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from epiframe.contracts import GOLD, LOAD_ORDER, SILVER
-from epiframe.operators.quality import apply_defaults, table_violations
+from epiframe.operators.quality import table_violations
 from epiframe.plans.silver import Silver
 
 
@@ -68,7 +68,7 @@ def load_silver(spark: SparkSession, source: Silver | Mapping[str, DataFrame], r
     for name in LOAD_ORDER:
         df = source.table(name) if isinstance(source, Silver) else source[name]
         path = f"{staged}/{name}"
-        counts[name] = write_counted(blank_as_null(apply_defaults(df, SILVER[name])), path)
+        counts[name] = write_counted(blank_as_null(df), path)
         if isinstance(source, Silver):
             source.replace(name, spark.read.parquet(path), counts[name])
     if strict:

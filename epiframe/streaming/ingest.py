@@ -19,7 +19,9 @@ def stream_ingest(
     """
 
     def step(batch: DataFrame, number: int) -> None:
-        checked = with_reason(batch, patients, units, row_key)
+        path = f"{out}/checked/batch={number}"  # checked once, then parted by reading it
+        with_reason(batch, patients, units, row_key).write.mode("overwrite").parquet(path)
+        checked = batch.sparkSession.read.parquet(path)
         good = as_cases(checked.filter(F.col("motivo").isNull()), F.col(row_key))
         good.write.mode("overwrite").parquet(f"{out}/accepted/batch={number}")
         bad = checked.filter(F.col("motivo").isNotNull())
@@ -33,42 +35,36 @@ def stream_ingest(
     )
 
 
-def weekly_windows(stream: DataFrame, time: str, delay: str = "14 days", by: tuple[str, ...] = ()) -> DataFrame:
-    """Records per Monday week of an event-time column; state older than ``delay`` is dropped.
-
-    Windows are laid over the local wall clock, so that weeks start on Monday midnight in any
-    session time zone.
-    """
-    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
-    local = stream.withColumn("__local", F.from_utc_timestamp(F.col(time).cast("timestamp"), zone))
-    week = F.window("__local", "7 days", startTime="4 days").alias("week")
-    counted = local.withWatermark("__local", delay).groupBy(*by, week).agg(F.count("*").alias("casos"))
-    return counted.select(*by, F.to_utc_timestamp("week.start", zone).cast("date").alias("semana"), "casos")
+def weekly_rows(stream: DataFrame, time: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Keys and Monday of each record, by the wall clock of the session's time zone."""
+    return stream.select(*by, F.date_trunc("week", F.col(time).cast("timestamp")).cast("date").alias("semana"))
 
 
-def weekly_confirmed(stream: DataFrame, time: str, delay: str = "14 days") -> DataFrame:
-    """Weekly windows over confirmed cases only."""
-    return weekly_windows(stream.filter(F.col("classificacao_final") == CONFIRMED), time, delay)
+def weekly_confirmed(stream: DataFrame, time: str) -> DataFrame:
+    """The same over confirmed cases only."""
+    return weekly_rows(stream.filter(F.col("classificacao_final") == CONFIRMED), time)
 
 
-def write_windows(counts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Keep the latest count of every window changed by a micro-batch under ``out``.
+def write_weekly(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Each micro-batch's counts by week as a folder of their own under ``out``.
 
-    A window may appear in several batches; ``latest_windows`` takes the newest.
+    There is no watermark: a record counts in its week however late it arrives, and no state is
+    kept between batches. ``weekly_totals`` adds the folders up.
     """
+    keys = rows.columns
 
     def step(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("casos"))
+        counts.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(step)
+        rows.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def latest_windows(written: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Newest count per window from the folders of ``write_windows``."""
-    return written.groupBy(*by, "semana").agg(F.max_by("casos", "batch").alias("casos"))
+def weekly_totals(written: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Count per week over all folders of ``write_weekly``."""
+    return written.groupBy(*by, "semana").agg(F.sum("casos").alias("casos"))

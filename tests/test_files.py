@@ -55,6 +55,32 @@ def test_record_numbers_over_several_files(spark, tmp_path):
     assert all(r.row_id == int(r.a) + 1 for r in df.collect())
 
 
+def case_lines(*records):
+    header = ["extra", *CASE_COLUMNS]
+    return "\n".join([",".join(header), *(",".join(r) for r in records)]) + "\n"
+
+
+def test_broken_records_stop_the_load(spark, tmp_path):
+    whole = ["x"] * (len(CASE_COLUMNS) + 1)
+    (tmp_path / "short.csv").write_text(case_lines(whole, whole[:5], whole))
+    (tmp_path / "quoted.csv").write_text(case_lines(whole, [*whole[:3], '"two\nlines"', *whole[4:]], whole))
+    for name in ("short", "quoted"):
+        with pytest.raises(Exception, match="MALFORMED|Malformed"):
+            bronze.read_case_file(spark, str(tmp_path / f"{name}.csv"), with_id=False).select("data_notificacao").collect()
+    kept = bronze.read_case_file(spark, str(tmp_path / "quoted.csv"), with_id=False, multi_line=True)
+    assert kept.count() == 3 and "two\nlines" in [v for r in kept.collect() for v in r]
+
+
+def test_a_cluster_must_name_the_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from epiframe.session import shared_dir
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(far)
+
+
 def test_gazetteer_header_is_found(spark, raw):
     df = bronze.read_gazetteer(spark, str(raw / "towns.csv"))
     assert df.columns == ["uf_code", "uf_nome", "municipio_id", "municipio_nome"]

@@ -32,7 +32,7 @@ def test_two_runs_equal_one_batch(spark, tmp_path):
     assert accepted.select("batch").distinct().count() == 2
 
 
-def test_weekly_windows_start_on_monday_and_update(spark, tmp_path):
+def test_weeks_start_on_monday_and_add_up(spark, tmp_path):
     source, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
     schema = "ts timestamp, classificacao_final string"
 
@@ -40,24 +40,23 @@ def test_weekly_windows_start_on_monday_and_update(spark, tmp_path):
         rows = [(dt.datetime.fromisoformat(t), "Confirmado") for t in times] + [(dt.datetime(2024, 1, 2), "Descartado")]
         spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
-        counts = streaming.weekly_confirmed(stream, "ts")
-        streaming.write_windows(counts, out, cp).awaitTermination()
+        streaming.write_weekly(streaming.weekly_confirmed(stream, "ts"), out, cp).awaitTermination()
 
     arrive("2024-01-01T00:00:00", "2024-01-07T23:59:59", "2024-01-08T00:00:00")
     arrive("2024-01-03T12:00:00")
-    got = streaming.latest_windows(spark.read.parquet(out)).orderBy("semana").collect()
+    got = streaming.weekly_totals(spark.read.parquet(out)).orderBy("semana").collect()
     assert [(r.semana, r.casos) for r in got] == [(dt.date(2024, 1, 1), 3), (dt.date(2024, 1, 8), 1)]
 
 
-def test_records_later_than_the_watermark_are_dropped(spark, tmp_path):
+def test_late_records_count_in_their_week(spark, tmp_path):
     source, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
 
     def arrive(day):
         spark.createDataFrame([(dt.datetime.fromisoformat(day),)], "ts timestamp").write.mode("append").parquet(source)
         stream = spark.readStream.schema("ts timestamp").parquet(source)
-        streaming.write_windows(streaming.weekly_windows(stream, "ts"), out, cp).awaitTermination()
+        streaming.write_weekly(streaming.weekly_rows(stream, "ts"), out, cp).awaitTermination()
 
     for day in ("2024-01-01", "2024-06-03", "2024-01-02"):
         arrive(day)
-    got = streaming.latest_windows(spark.read.parquet(out)).agg(F.sum("casos")).first()[0]
-    assert got == 2
+    got = streaming.weekly_totals(spark.read.parquet(out)).agg(F.sum("casos")).first()[0]
+    assert got == 3

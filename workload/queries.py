@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from epiframe.contracts import BOUNDED_TABLES, FEATURES, LOAD_ORDER, SILVER
+from epiframe.contracts import BOUNDED_TABLES, DEATH_LABELS, FEATURES, LOAD_ORDER, SILVER, TRIMESTERS
 from epiframe.functions.age import age_band, age_years, age_years_double, band_rank, register_age_function
 from epiframe.functions.clean import nullify, to_int
 from epiframe.operators import audit, cluster, dedup, ingest, quality, solvers, timeseries, trend
@@ -24,6 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+_DEATHS = ", ".join(f"'{label}'" for label in DEATH_LABELS)
+_TRIMESTERS = ", ".join(f"'{label}'" for label in TRIMESTERS)
 YEARS = (1996, 2000)
 UFS = ["BA", "MG", "PE", "RJ", "SP"]
 _UFS_SQL = "('BA', 'MG', 'PE', 'RJ', 'SP')"
@@ -243,8 +245,8 @@ def _(spark, sf):
 
 @query(
     "death_violations",
-    """SELECT o.*, CASE WHEN n.evolucao_caso IS NULL THEN 'missing case'
-              WHEN n.evolucao_caso NOT LIKE 'Óbito%' THEN 'outcome is not a death' END AS motivo
+    f"""SELECT o.*, CASE WHEN n.evolucao_caso IS NULL THEN 'missing case'
+              WHEN n.evolucao_caso NOT IN ({_DEATHS}) THEN 'outcome is not a death' END AS motivo
        FROM obitos o LEFT JOIN notificacoes_casos n ON n.notificacao_id = o.notificacao_id""",
 )
 def _(spark, sf):
@@ -254,7 +256,7 @@ def _(spark, sf):
 
 @query(
     "evolution_violations",
-    """SELECT u.*, CASE WHEN u.evolucao_caso NOT LIKE 'Óbito%'
+    f"""SELECT u.*, CASE WHEN u.evolucao_caso NOT IN ({_DEATHS})
               AND EXISTS (SELECT 1 FROM obitos o WHERE o.notificacao_id = u.notificacao_id) THEN 'linked death row' END AS motivo
        FROM outcome_updates u""",
 )
@@ -393,7 +395,7 @@ def _(spark, sf):
 
 @query(
     "view_pregnancy",
-    "SELECT idade_gestacional, count(*) AS total_casos FROM pacientes WHERE idade_gestacional LIKE '_º trimestre' GROUP BY 1",
+    f"SELECT idade_gestacional, count(*) AS total_casos FROM pacientes WHERE idade_gestacional IN ({_TRIMESTERS}) GROUP BY 1",
 )
 def _(spark, sf):
     return views.pregnancy(model.silver(spark, sf).pacientes("idade_gestacional"))
@@ -401,8 +403,8 @@ def _(spark, sf):
 
 @query(
     "view_kpis",
-    """SELECT count(*) AS total_casos, CAST(sum(CAST(n.evolucao_caso = 'Óbito pelo agravo' AS INT)) AS BIGINT) AS total_obitos,
-              CAST(sum(CAST(p.idade_gestacional LIKE '_º trimestre' AS INT)) AS BIGINT) AS total_gestantes,
+    f"""SELECT count(*) AS total_casos, CAST(sum(CAST(n.evolucao_caso = 'Óbito pelo agravo' AS INT)) AS BIGINT) AS total_obitos,
+              CAST(sum(CAST(p.idade_gestacional IN ({_TRIMESTERS}) AS INT)) AS BIGINT) AS total_gestantes,
               CAST(sum(CAST(n.classificacao_final = 'Em investigação' AS INT)) AS BIGINT) AS aguardando_investigacao
        FROM notificacoes_casos n JOIN pacientes p USING (paciente_id)""",
 )
@@ -462,7 +464,7 @@ def _(spark, sf):
 
 _SCOPE = f"year(data_notificacao) BETWEEN {YEARS[0]} AND {YEARS[1]} AND sigla IN {_UFS_SQL}"
 _SURE = "classificacao_final = 'Confirmado'"
-_PREGNANT = "idade_gestacional LIKE '_º trimestre'"
+_PREGNANT = f"idade_gestacional IN ({_TRIMESTERS})"
 _DEAD = "evolucao_caso = 'Óbito pelo agravo'"
 
 
@@ -858,7 +860,7 @@ def _(spark, sf):
              CASE WHEN variacao_previsao > 0 THEN 'aumento' ELSE 'redução' END, abs(variacao_previsao), n_forecast) FROM core
          UNION ALL SELECT 5, 'risco', CASE WHEN risco_obito > 0 THEN
              printf('Cluster %d: maior taxa média de óbito (%.2f%%) entre %d municípios%s', risco_cluster, risco_obito * 100, risco_n,
-                    CASE WHEN risco_n < 5 THEN ' (grupo pequeno, requer cautela na generalização)' ELSE '' END) END FROM core
+                    CASE WHEN risco_n < 5 THEN ' (poucos municípios: interpretar com reserva)' ELSE '' END) END FROM core
          UNION ALL SELECT 6, 'gestantes', printf('%d casos confirmados em gestantes (%.1f%%)', total_gestantes, pct_gestantes) FROM core)
        WHERE texto IS NOT NULL""",
     series="whole", **_CORE_CTES,
@@ -982,6 +984,6 @@ def _(spark, sf):
 def _(spark, sf):
     arriving = _stream(spark, sf, "events")
     out = _scratch(spark, "weekly")
-    counts = streaming.weekly_windows(arriving, "ts", by=("event_type",))
-    streaming.write_windows(counts, f"{out}/counts", f"{out}/checkpoint").awaitTermination()
-    return streaming.latest_windows(spark.read.parquet(f"{out}/counts"), ("event_type",))
+    rows = streaming.weekly_rows(arriving, "ts", by=("event_type",))
+    streaming.write_weekly(rows, f"{out}/counts", f"{out}/checkpoint").awaitTermination()
+    return streaming.weekly_totals(spark.read.parquet(f"{out}/counts"), ("event_type",))
