@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from epiframe.llm.common import Scratch, partitions
+from epiframe.llm.common import partitions
 
 #: Characters of text that one block of documents holds, about; a longer text is a block of its own.
 BLOCK = 1 << 23
@@ -43,11 +43,12 @@ def _unpack_words(lengths: bytes, data: bytes) -> list[bytes]:
     return [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def split_blocks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
-    """Blocks of documents as distinct words plus positions.
+def split_blocks(docs: DataFrame, pattern: str, buckets: int, positions: bool) -> DataFrame:
+    """Blocks of documents, as positions or as distinct words.
 
-    Rows of kind -1 carry a block's documents: ids, words in each, and every position's word
-    number. Row of kind b holds the block's distinct words in hash bucket b, with their numbers.
+    With ``positions``, a row (bucket -1) carries a block's documents: ids, words in each, and the
+    word number at every position; else a row for each hash bucket holds the block's distinct words
+    in it, with their numbers. Both are made from the same scan, which names the blocks alike.
     """
     import regex
 
@@ -74,12 +75,14 @@ def split_blocks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
                 at.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in found), np.uint32, len(found)))
             name = part * (1 << 32) + number
             number += 1
-            absent = np.array([n is None for n in names], np.uint8)
-            ids = np.array([0 if n is None else n for n in names], "<i8")
-            rows = [(name, -1, _pack(np.concatenate(at)), _pack(np.array(counts, "<u4")), _pack(absent), _pack(ids))]
+            rows = []
+            if positions:
+                absent = np.array([n is None for n in names], np.uint8)
+                ids = np.array([len(numbers), *(0 if n is None else n for n in names)], "<i8")
+                rows = [(name, -1, _pack(np.concatenate(at)), _pack(np.array(counts, "<u4")), _pack(absent), _pack(ids))]
             held: list[list[bytes]] = [[] for _ in range(buckets)]
             which: list[list[int]] = [[] for _ in range(buckets)]
-            for i, w in enumerate(numbers):
+            for i, w in enumerate([] if positions else numbers):
                 raw = w.encode()
                 b = crc32(raw) % buckets
                 held[b].append(raw)
@@ -112,14 +115,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     Pre-tokens leave their documents as blocks of distinct words with positions. The words of all
     blocks meet by hash bucket, where each distinct one is encoded once; the ids go back to the
-    blocks, which put them together by position. No special tokens. Null text: as empty; repeated
+    blocks, which put them together by position. The texts are split twice, once for each, which keeps
+    positions off the disk but for one shuffle; a block that didn't get all its words back stops the
+    job. ``docs`` is a stored table, whose scan is split alike both times. No special tokens. Null text: as empty; repeated
     rows each give a row; an empty table gives none; other columns are not read.
     Result: doc_id, ids (little-endian unsigned 32-bit integers).
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
-    buckets = partitions(spark)
-    parts = scratch.cut(split_blocks(docs, pattern, buckets), "blocks")
+    buckets = partitions(docs.sparkSession)
 
     def encode_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import tiktoken
@@ -139,7 +141,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 out.append((row.block, row.numbers, _pack(lengths), _pack(flat)))
             yield pd.DataFrame(out, columns=["block", "numbers", "lengths", "ids"])
 
-    words = parts.filter("bucket >= 0").select("block", "bucket", "numbers", "lengths", "data")
+    words = split_blocks(docs, pattern, buckets, False).select("block", "bucket", "numbers", "lengths", "data")
     encoded = words.repartition(buckets, "bucket").mapInPandas(encode_words, "block long, numbers binary, lengths binary, ids binary")
 
     def assemble(key, held: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -157,8 +159,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         out = []
         for row in held.itertuples():  # one for each block
             at, counts = _unpack(row.numbers, "<u4").astype(np.int64), _unpack(row.lengths, "<u4")
-            names, absent, place = _unpack(row.names, "<i8"), _unpack(row.data, np.uint8), 0
-            for name, none, n in zip(names.tolist(), absent.tolist(), counts.tolist(), strict=True):
+            (distinct, *names), absent, place = _unpack(row.names, "<i8").tolist(), _unpack(row.data, np.uint8), 0
+            if distinct != size:
+                raise RuntimeError(f"block {row.block} has {distinct} words, {size} came back: its scan was split anew")
+            for name, none, n in zip(names, absent.tolist(), counts.tolist(), strict=True):
                 mine = at[place : place + n]
                 place += n
                 lengths = length[mine]
@@ -166,7 +170,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 out.append((None if none else name, flat[shift + np.arange(len(shift))].astype("<u4").tobytes()))
         return pd.DataFrame(out, columns=["doc_id", "ids"]).astype({"doc_id": "Int64"})
 
-    held = parts.filter("bucket = -1").select("block", "numbers", "lengths", "data", "names")
+    held = split_blocks(docs, pattern, buckets, True).select("block", "numbers", "lengths", "data", "names")
     return held.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(assemble, "doc_id long, ids binary")
 
 
