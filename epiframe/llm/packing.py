@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -82,11 +86,42 @@ def pack_lengths(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int,
     return [bins for same in gaps.values() for bins in same]
 
 
+def ascii_parts(tokenizer):
+    """The pattern that parts lower-cased ASCII text as ``tokenizer`` does, None for another kind.
+
+    Its kind lower-cases, takes all matches of one pattern, writes bytes as characters (printable ASCII
+    as itself) and hands each match to the model alone. The pattern is read from the tokenizer.
+    """
+    held = json.loads(tokenizer.to_str())
+    steps = [(held["normalizer"] or {}).get("normalizers", []), (held["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    kinds = [[step["type"] for step in part] for part in steps]
+    if kinds != [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] or not all(t["special"] for t in held["added_tokens"]):
+        return None
+    space, (split, spelled) = steps[0][1], steps[1]
+    if (space["pattern"], space["content"]) != ({"Regex": r"\s+"}, " ") or (split["behavior"], split["invert"]) != ("Removed", True):
+        return None
+    if spelled["add_prefix_space"] or spelled["use_regex"] or "Regex" not in split["pattern"]:
+        return None
+    return re.compile(split["pattern"]["Regex"].replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"))
+
+
+class Parts(dict):
+    """Ids of single matches, straight from the tokenizer's model."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def __missing__(self, part: str) -> list[int]:
+        self[part] = ids = [t.id for t in self.model.tokenize(part)]
+        return ids
+
+
 class Chunks(dict):
     """Ids of text chunks between blanks, each distinct chunk tokenised once."""
 
     def __init__(self, tokenizer):
         self.tokenizer, self.new = tokenizer, []
+        self.pattern, self.parts = ascii_parts(tokenizer), Parts(tokenizer.model)
         self.flat, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def __missing__(self, chunk: bytes) -> int:
@@ -95,35 +130,56 @@ class Chunks(dict):
         return at
 
     def settle(self) -> None:
-        if self.new:
-            got = self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in self.new], add_special_tokens=False)
-            ids = [e.ids for e in got]
-            self.flat = np.concatenate([self.flat, *(np.asarray(i, np.uint32) for i in ids)])
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum([len(i) for i in ids])])
-            self.new = []
+        if not self.new:
+            return
+        ids: list[list[int]] = [[]] * len(self.new)
+        rest = []
+        for i, chunk in enumerate(self.new):
+            text = chunk.decode("utf-8", "replace")
+            if self.pattern is not None and text.isascii() and text.isprintable():
+                parts = self.pattern.findall(text.lower())
+                ids[i] = self.parts[parts[0]] if len(parts) == 1 else [x for part in parts for x in self.parts[part]]
+            else:
+                rest.append((i, text))
+        for (i, _), e in zip(rest, self.tokenizer.encode_batch_fast([text for _, text in rest], add_special_tokens=False), strict=True):
+            ids[i] = e.ids
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32)])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum([len(i) for i in ids])])
+        self.new = []
+
+
+#: Distinct chunks at which a worker's table starts anew.
+TABLE = 1_000_000
+
+
+@lru_cache(maxsize=1)
+def worker_chunks(vocabulary: str) -> list[Chunks]:
+    """The one table of chunks of this worker, which its tasks share."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary)
+    tokenizer.encode_special_tokens = True
+    return [Chunks(tokenizer)]
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> DataFrame:
     """Token counts and checksums of every document's pieces.
 
     The tokenizer parts text at white space before anything else and joins nothing across it, so
-    each distinct chunk between ASCII blanks is tokenised once a task. The table of chunks starts
-    anew beyond 400 thousand.
+    each distinct chunk between ASCII blanks is tokenised once a worker, until its table is full and
+    starts anew; chunks of printable ASCII are parted here and go to its model part by part.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(vocabulary)
-        tokenizer.encode_special_tokens = True
-        chunks = Chunks(tokenizer)
+        held = worker_chunks(vocabulary)
+        chunks = held[0]
         for batch in batches:
             names = batch.column("doc_id")
             for first, end, raw, starts in blocks(batch):
                 rows, out = raw.tobytes(), []
-                if len(chunks) > 400_000:
-                    chunks = Chunks(tokenizer)
+                if len(chunks) > TABLE:
+                    held[0] = chunks = Chunks(chunks.tokenizer)
                 found = [np.fromiter(map(chunks.__getitem__, rows[a:b].split()), np.int64) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
                 chunks.settle()
                 for row, at in enumerate(found, first):
