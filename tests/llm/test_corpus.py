@@ -119,6 +119,26 @@ def test_packing_plan():
     assert packing.pack_lengths({}, 4096) == []
 
 
+def test_packing_chunks():
+    import random
+
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    tokenizer.encode_special_tokens = True
+    rng = random.Random(0)
+    made = {"".join(rng.choices("abcXYZ019'\"<|>.,-_@#sStTlLrReEdDmMvV\x1c\x7f\x00\u00e9\u0301", k=rng.randint(1, 12))) for _ in range(5000)}
+    found = sorted(made | {"<|endoftext|>", "it'S", "I'LL", "</w>a</w>", "H\u0331x", "\u3000x\u3000"})
+    want = [e.ids for e in tokenizer.encode_batch(found, add_special_tokens=False)]
+    for known in (True, False):  # a tokenizer of another kind has no pattern
+        chunks = packing.Chunks(tokenizer)
+        assert chunks.pattern is not None
+        chunks.pattern = chunks.pattern if known else None
+        at = [chunks[c.encode()] for c in found]
+        chunks.settle()
+        assert [chunks.flat[chunks.start[i] : chunks.start[i + 1]].tolist() for i in at] == want
+
+
 def test_packing(docs, texts, empty):
     from tokenizers import Tokenizer
 
