@@ -1,6 +1,8 @@
 """Exact near-duplicate classes by Jaccard similarity of word shingles.
 
-Sets meet in index lists by the tokens of their prefixes. A list is read by blocks of like size,
+Sets meet in index lists by the tokens of their prefixes. Prefixes are longer than one common token
+needs, so that a linked set must share many tokens of its own: sets that share fewer leave the lists,
+again and again as lists thin out. A list is read by blocks of like size and skipped by position,
 and a set's answers come from a highly similar set's: a set that links to a list's leader belongs
 to the leader's class, and pairs inside a class are skipped from then on. Only pairs of different
 classes are left for the exact comparison at the end.
@@ -22,8 +24,12 @@ BLANK = np.zeros(256, bool)
 BLANK[list(SPACES.encode())] = True
 #: A token in this share of all documents, at least, comes after all rarer ones in the order.
 FREQUENT = 1 / 1000
+#: Passes that take sets with too few shared tokens out of the lists; they only spare work.
+PASSES = 3
 #: Rounds of links to leaders before the exact comparison of what is left; they only spare it work.
 ROUNDS, CENTRAL_ROUNDS = 6, 2
+#: Lists of a set, from its first token on, in which it looks for leaders.
+LEADER_LISTS = 16
 
 
 def shingle_sets(raw: np.ndarray, starts: np.ndarray, size: int) -> list[np.ndarray]:
@@ -60,8 +66,20 @@ def shingle_sets(raw: np.ndarray, starts: np.ndarray, size: int) -> list[np.ndar
     return out
 
 
+def extra(n, percent: int):
+    """Prefix tokens beyond those one common token needs, for a number or a column of set sizes.
+
+    Sets linked to one of ``n`` tokens share at least ``extra(n)`` tokens of both prefixes: the overlap
+    reaches ``percent`` of the larger set, and what either set holds beyond its prefix is
+    smaller than that by its extra tokens (one less where rounding is against it).
+    """
+    if percent * 3 < 100:
+        return n * 0
+    return F.floor(n * (100 - percent) / 200) if isinstance(n, Column) else n * (100 - percent) // 200
+
+
 def prefix_length(n: int, percent: int) -> int:
-    return n - (percent * n + 99) // 100 + 1
+    return min(n, n - (percent * n + 99) // 100 + 1 + extra(n, percent))
 
 
 def _sets(docs: DataFrame, size: int, body, schema: str) -> DataFrame:
@@ -129,93 +147,114 @@ def _may_link(a: Column, b: Column, shared: Column, percent: int) -> Column:
     """Whether sets of these sizes that share so many prefix tokens can be similar enough."""
 
     def rest(n: Column) -> Column:
-        return n - (n - F.ceil(n * percent / 100.0) + 1)
+        return F.greatest(F.ceil(n * percent / 100.0) - 1 - extra(n, percent), F.lit(0))
 
     return (100 + percent) * (shared + F.greatest(rest(a), rest(b))) >= percent * (a + b)
 
 
+def _position_skip(a: Column, b: Column, i: Column, j: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be similar enough with a common token at these positions.
+
+    Of two linked sets, what comes before the token and what comes after differ in number by no more
+    than the tokens that only one of the sets holds.
+    """
+    return (100 + percent) * (F.abs(i - j) + F.abs((a - i) - (b - j))) <= (100 - percent) * (a + b)
+
+
 class Join:
-    """One run of the join: index lists, sets fetched so far, links found so far."""
+    """One run of the join: index lists, sets of the texts in them, links found so far.
+
+    ``reps`` numbers the distinct sets; ``core`` has those that may have a link, with their shared
+    prefix tokens.
+    """
 
     def __init__(self, docs: DataFrame, size: int, percent: int):
         self.docs, self.size, self.percent = docs, size, percent
         self.spark = docs.sparkSession
         self.scratch = Scratch(self.spark)
         late = self.spark.sparkContext.broadcast(frequent_tokens(docs, size, self.scratch))
-        self.members = self.scratch.cut(_prefixes(docs, size, percent, late), "members")
-        self.reps = self.scratch.cut(
-            self.members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "reps")
-        postings = self.reps.select("node", "n", F.explode("prefix").alias("token"))
-        shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-        lists = self.scratch.cut(postings.join(shared, "token"), "shared")
-        # The original of a group of near copies shares more of its prefix than copies with edits do.
-        weights = lists.groupBy("node").agg(F.sum(F.log("df")).alias("weight"))
-        weights = weights.join(self.reps.select("node", F.size("prefix").alias("size")), "node").select("node", (F.col("weight") / F.col("size")).alias("weight"))
-        self.lists = self.scratch.cut(lists.drop("df").join(weights, "node"), "lists")
-        self.scratch.drop(lists)
-        self.sketches = self.reps.select("node", "n", F.transform("prefix", lambda x: (x.bitwiseAND(65535) - 32768).cast("short")).alias("sketch"))
-        self.sets: DataFrame | None = None
+        whole = self.scratch.cut(_prefixes(docs, size, percent, late), "members")
+        reps = whole.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        # The numbers are written with the rows, so every later read sees the same ones.
+        self.reps = self.scratch.cut(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
+        self.members = self.scratch.cut(whole.select("doc_id", "node", "n"), "members")
+        self.scratch.drop(whole)
+        core = self.shared(self.reps.select("id", "n", F.posexplode("prefix").alias("pos", "token")))
+        for _ in range(1, PASSES):
+            wider, core = core, self.shared(core.select("id", "n", F.inline("prefix")).drop("df"))
+            self.scratch.drop(wider)
+        self.core = core
+        self.sketches = core.select("id", "n", F.transform("prefix", lambda x: (x["token"].bitwiseAND(65535) - 32768).cast("short")).alias("sketch"))
+        self.sets = self.fetch()
         self.links: DataFrame | None = None
         self.tested: DataFrame | None = None
 
+    def shared(self, entries: DataFrame) -> DataFrame:
+        """id, n, prefix (pos, token, df) of sets with enough tokens that stand in other prefixes too."""
+        often = entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+        held = entries.join(often, "token").groupBy("id", "n").agg(F.collect_list(F.struct("pos", "token", "df")).alias("prefix"))
+        held = held.filter(F.size("prefix") >= F.greatest(extra(F.col("n"), self.percent), F.lit(1)))
+        return self.scratch.cut(held.withColumn("prefix", F.array_sort("prefix")), "core")
+
+    def fetch(self) -> DataFrame:
+        """id, tokens: the whole sets of ``core``, from the texts."""
+        wanted = self.scratch.cut(self.reps.join(self.core.select("id"), "id", "left_semi").select("id", "node", "doc_id"), "wanted")
+
+        def take(part: pa.RecordBatch, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            offsets = np.zeros(len(sets) + 1, np.int32)
+            np.cumsum([len(s) for s in sets], out=offsets[1:])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))], names=["node", "tokens"])
+
+        ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
+        texts = self.docs.join(ids, self.docs.doc_id.eqNullSafe(F.col("wanted_id")), "left_semi")
+        sets = _sets(texts, self.size, take, "node binary, tokens array<long>")
+        return self.scratch.cut(sets.join(wanted.select("node", "id"), "node").select("id", "tokens").dropDuplicates(["id"]), "sets")
+
+    def labelled(self, labels: DataFrame | None) -> DataFrame:
+        """``core`` with the class of each set, its own number where it has no link."""
+        if labels is None:
+            return self.core.withColumn("label", F.col("id"))
+        named = labels.withColumnRenamed("node", "id")
+        return self.core.join(named, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
     def candidates(self, round_: int, labels: DataFrame | None) -> DataFrame:
         """Pairs of each set with the leaders of its blocks of lists, the most frequent two each.
 
         Leaders are the most central sets in the first rounds, and drawn by hash in later ones.
         """
-        entries = self.lists
-        if labels is None:
-            entries = entries.withColumn("label", F.col("node"))
-        else:
-            entries = entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        nodes = self.labelled(labels).select(
+            "id", "n", "label", F.aggregate("prefix", F.lit(0.0), lambda w, x: w + F.log(x["df"].cast("double"))).alias("shares"),
+            F.slice("prefix", 1, LEADER_LISTS).alias("prefix"))
+        # The original of a group of near copies shares more of its prefix than copies with edits do.
+        entries = nodes.select("id", "n", "label", (F.col("shares") / F.col("n")).alias("weight"), F.inline("prefix"))
         # Blocks of like size: sets a tenth apart at most lie in one block in at least every other round.
         width = math.log(100 / self.percent) * 2
         block = F.floor(F.log(F.col("n").cast("double")) / width + round_ / 2)
-        entries = entries.select("token", "node", "n", "label", "weight", block.alias("block"))
+        entries = entries.select("token", "id", "n", "label", "weight", block.alias("block"))
         central = -F.col("weight") if round_ < CENTRAL_ROUNDS else F.lit(0.0)
-        lead = F.min(F.struct(central.alias("w"), F.xxhash64("node", F.lit(round_)).alias("h"), "node", "n", "label"))
+        lead = F.min(F.struct(central.alias("w"), F.xxhash64("id", F.lit(round_)).alias("h"), "id", "n", "label"))
         leaders = entries.groupBy("token", "block").agg(lead.alias("lead"), F.min("label").alias("least"), F.max("label").alias("most"))
         leaders = leaders.filter("least <> most").select("token", "block", "lead")
         pairs = entries.join(leaders, ["token", "block"]).filter(
             (F.col("label") != F.col("lead.label")) & _near_sizes(F.col("n"), F.col("lead.n"), self.percent))
-        counted = pairs.groupBy("node", F.col("lead.node").alias("leader")).agg(F.count(F.lit(1)).alias("votes"))
-        best = counted.groupBy("node").agg(
+        counted = pairs.groupBy("id", F.col("lead.id").alias("leader")).agg(F.count(F.lit(1)).alias("votes"))
+        best = counted.groupBy("id").agg(
             F.max(F.struct("votes", "leader")).alias("first"), F.min(F.struct(-F.col("votes"), F.xxhash64("leader"), "leader")).alias("second"))
-        named = best.select(F.col("node").alias("a"), F.explode(F.array("first.leader", "second.leader")).alias("b"))
+        named = best.select(F.col("id").alias("a"), F.explode(F.array("first.leader", "second.leader")).alias("b"))
         return self.bounded(named.filter("a <> b"))
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """Pairs that the overlap of their prefixes leaves possible."""
-        left = self.sketches.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-        right = self.sketches.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+        left = self.sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+        right = self.sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
         # Sketch values are token ends, so that equal tokens can only be overcounted.
         common = F.size(F.array_intersect("s_a", "s_b")) + F.size("s_a") - F.size(F.array_distinct("s_a"))
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         return ordered.join(left, "a").join(right, "b").filter(
             _may_link(F.col("n_a"), F.col("n_b"), common, self.percent)).select("a", "b")
 
-    def fetch(self, pairs: DataFrame) -> None:
-        """Whole sets of all nodes in ``pairs`` that are not at hand yet, from the texts."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        if self.sets is not None:
-            wanted = wanted.join(self.sets.select("node"), "node", "left_anti")
-        wanted = self.scratch.cut(wanted.join(self.reps.select("node", "doc_id"), "node"), "wanted")
-        if not wanted.limit(1).count():
-            return
-
-        def take(part: pa.RecordBatch, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            offsets = np.zeros(len(sets) + 1, np.int32)
-            np.cumsum([len(s) for s in sets], out=offsets[1:])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))], names=["node", "tokens"])
-
-        ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
-        texts = self.docs.join(ids, self.docs.doc_id.eqNullSafe(F.col("wanted_id")), "left_semi")
-        sets = _sets(texts, self.size, take, "node binary, tokens array<long>")
-        sets = self.scratch.cut(sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
-        self.sets = sets if self.sets is None else self.sets.unionByName(sets)
-
     def verify(self, pairs: DataFrame) -> bool:
         """Add those of ``pairs`` that are similar enough to the links; whether there are new ones."""
         if self.tested is not None:
@@ -224,7 +263,6 @@ class Join:
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         if not pairs.limit(1).count():
             return False
-        self.fetch(pairs)
         percent = self.percent
 
         def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,8 +274,8 @@ class Join:
                     keep.append(100 * both >= percent * (len(x) + len(y) - both))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        left, right = (self.sets.select(F.col("node").alias(k), F.col("tokens").alias(t)) for k, t in (("a", "x"), ("b", "y")))
-        found = self.scratch.cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(test, "a binary, b binary"), "links")
+        left, right = (self.sets.select(F.col("id").alias(k), F.col("tokens").alias(t)) for k, t in (("a", "x"), ("b", "y")))
+        found = self.scratch.cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(test, "a long, b long"), "links")
         if not found.limit(1).count():
             return False
         self.links = found if self.links is None else self.links.unionByName(found)
@@ -245,18 +283,19 @@ class Join:
 
     def remaining(self, labels: DataFrame | None) -> DataFrame:
         """Every pair of different classes that shares a list and may still link."""
-        labels = self.reps.select("node", F.col("node").alias("label")) if labels is None else labels
-        entries = self.lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        entries = self.labelled(labels).select("id", "n", "label", F.inline("prefix")).drop("df")
         mixed = entries.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("token")
         entries = self.scratch.cut(entries.join(mixed, "token", "left_semi"), "mixed")
-        a, b = (entries.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "label")]) for s in "ab")
-        pairs = a.join(b, "token").filter((F.col("label_a") < F.col("label_b")) & _near_sizes(F.col("n_a"), F.col("n_b"), self.percent))
-        counted = pairs.groupBy("node_a", "node_b").agg(F.count(F.lit(1)).alias("shared"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-        return counted.filter(_may_link(F.col("n_a"), F.col("n_b"), F.col("shared"), self.percent)).select(
-            F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        a, b = (entries.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "label", "pos")]) for s in "ab")
+        n, m = F.col("n_a"), F.col("n_b")
+        pairs = a.join(b, "token").filter(
+            (F.col("label_a") < F.col("label_b")) & _near_sizes(n, m, self.percent) & _position_skip(n, m, F.col("pos_a"), F.col("pos_b"), self.percent))
+        counted = pairs.groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("shared"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
+        return counted.filter(_may_link(n, m, F.col("shared"), self.percent)).select(
+            F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
 
     def classes(self) -> DataFrame:
-        """node, label for every set that has a link."""
+        """node (a set's number), label for every set that has a link; None when there are no links."""
         labels = None
         for round_ in range(ROUNDS):
             if self.verify(self.candidates(round_, labels)):
@@ -281,12 +320,12 @@ def near_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     join = Join(light, size, percent)
     labels = join.classes()
-    members = join.members.select("doc_id", "node", "n")
+    sets = join.reps.select("node", F.col("id"), F.col("doc_id"))
     if labels is not None:
-        members = members.join(labels, "node", "left")
+        named = sets.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+        least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+        sets = named.join(least, "label")
     else:
-        members = members.withColumn("label", F.lit(None).cast("binary"))
-    members = members.withColumn("label", F.coalesce("label", "node"))
-    least = members.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    held = join.scratch.cut(members.join(least, "label", "left"), "result")
+        sets = sets.withColumnRenamed("doc_id", "component_id")
+    held = join.scratch.cut(join.members.join(sets.select("node", "component_id"), "node", "left"), "result")
     return held.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.col("node").alias("set_id"))
