@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import warnings
 from collections.abc import Sequence
 from functools import reduce
 from operator import add
@@ -109,7 +110,8 @@ def _next_seeds(points: DataFrame, z: list[str], chosen: dict[int, list], step:
                 i = int(arrival.argmin())
                 if run not in best or arrival[i] < best[run][0]:
                     best[run] = (float(arrival[i]), x[i].tolist())
-        yield pd.DataFrame({"run": list(best), "t": [v[0] for v in best.values()], "x": [v[1] for v in best.values()]})
+        if best:  # Arrow takes no type from a list column without rows
+            yield pd.DataFrame({"run": list(best), "t": [v[0] for v in best.values()], "x": [v[1] for v in best.values()]})
 
     winners = points.select("__h", *z).mapInPandas(race, "run int, t double, x array<double>")
     # One row per run.
@@ -131,10 +133,11 @@ def _step(points: DataFrame, z: list[str], centres: dict[int, np.ndarray]) -> di
                     part = np.concatenate([[mine.sum(), near[mine].sum()], x[mine].sum(0)])
                     key = (run, int(j))
                     total[key] = total[key] + part if key in total else part
-        yield pd.DataFrame(
-            {"run": [k[0] for k in total], "cluster": [k[1] for k in total], "n": [v[0] for v in total.values()],
-             "cost": [v[1] for v in total.values()], "s": [v[2:].tolist() for v in total.values()]}
-        )
+        if total:
+            yield pd.DataFrame(
+                {"run": [k[0] for k in total], "cluster": [k[1] for k in total], "n": [v[0] for v in total.values()],
+                 "cost": [v[1] for v in total.values()], "s": [v[2:].tolist() for v in total.values()]}
+            )
 
     parts = points.select(*z).mapInPandas(partial, "run int, cluster int, n double, cost double, s array<double>")
     sums = parts.groupBy("run", "cluster").agg(
@@ -183,6 +186,8 @@ def kmeans(
                 moving[run] = new
         if not moving:
             break
+    else:
+        warnings.warn(f"{len(moving)} K-means runs still moved after {max_iter} passes", stacklevel=2)
     for run, clusters in _step(points, z, centres).items():
         cost[run] = sum(c for _, c, _ in clusters.values())
     best: dict[int, tuple[float, np.ndarray]] = {}
@@ -205,9 +210,14 @@ def cluster_municipalities(
     profile: DataFrame, k: int = 4, features: Sequence[str] = FEATURES, restarts: int = 10, seed: int = 42,
     id_column: str = "municipio_id",
 ) -> DataFrame:
-    """Profile plus ``cluster``; clusters are numbered from the largest mean volume down."""
+    """Profile plus ``cluster``; clusters are numbered from the largest mean volume down.
+
+    An empty profile gives an empty table.
+    """
     z = [f"z_{c}" for c in features]
     points = _points(zscores(profile, features), id_column)
+    if points.isEmpty():
+        return points.select(*profile.columns, F.lit(0).alias("cluster"))
     _, centres = kmeans(points, z, [k], restarts, seed)[k]
     labelled = points.withColumn("__c", nearest(z, centres))
     size = labelled.groupBy("__c").agg(F.avg("total_confirmados").alias("v"), F.min(id_column).alias("m"))
@@ -221,9 +231,14 @@ def kmeans_sweep(
     profile: DataFrame, id_column: str, ks: Sequence[int] = tuple(range(2, 9)), features: Sequence[str] = FEATURES,
     restarts: int = 10, seed: int = 42,
 ) -> DataFrame:
-    """Inertia and Euclidean silhouette for each ``k``; one distance pass serves them all."""
+    """Inertia and Euclidean silhouette for each ``k``; one distance pass serves them all.
+
+    An empty profile gives an empty table.
+    """
     z = [f"z_{c}" for c in features]
     points = _points(zscores(profile, features), id_column)
+    if points.isEmpty():
+        return points.sparkSession.createDataFrame([], "k int, inercia double, silhueta double")
     best = kmeans(points, z, ks, restarts, seed)
     labelled = points.select(id_column, *z, *[nearest(z, centres).alias(f"k{k}") for k, (_, centres) in best.items()])
     scores = silhouette(labelled, id_column, z, [f"k{k}" for k in ks])

@@ -7,9 +7,6 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-FAN = 32
-
-
 def unique_lookup(dim: DataFrame, key: Column, value: str) -> DataFrame:
     """(``key``, ``value``) with one row per key; a key with several values is marked.
 
@@ -47,23 +44,12 @@ def resolve(df: DataFrame, out: str, on: dict[str, Column], dim: DataFrame, valu
     return df.join(F.broadcast(side), match, "left").drop(*names.values())
 
 
-def resolve_large(
-    df: DataFrame, out: str, key: Column, dim: DataFrame, dim_key: str, row_key: Column, fan: int = FAN
-) -> DataFrame:
-    """Add ``out``: ``key`` where ``dim`` has it, else NULL, for a dimension of any size.
+def resolve_large(df: DataFrame, out: str, key: Column, dim: DataFrame, dim_key: str) -> DataFrame:
+    """Add ``out``: ``key`` where ``dim`` has it, else NULL, for a uniquely keyed dimension of any size.
 
-    Every key is spread over ``fan`` copies of its dimension row and NULL keys over all
-    tasks, so one key or NULL holding a large share of the rows does not land in one task.
+    A key or NULL that holds a large share of the rows makes a large partition on the left, which
+    adaptive execution parts among tasks.
     """
-    probe = df.withColumn("__probe", key).withColumn(
-        "__salt",
-        F.when(F.col("__probe").isNull(), F.xxhash64(row_key)).otherwise(
-            F.pmod(F.xxhash64(row_key), F.lit(fan))
-        ),
-    )
-    copies = dim.select(
-        F.col(dim_key).alias(out),
-        F.explode(F.array(*[F.lit(i).cast("long") for i in range(fan)])).alias("__copy"),
-    )
-    match = (F.col("__probe") == F.col(out)) & (F.col("__salt") == F.col("__copy"))
-    return probe.join(copies, match, "left").drop("__probe", "__salt", "__copy")
+    probe = df.withColumn("__probe", key)
+    known = dim.select(F.col(dim_key).alias(out))
+    return probe.join(known, F.col("__probe") == F.col(out), "left").drop("__probe")

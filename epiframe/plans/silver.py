@@ -220,7 +220,7 @@ class Silver:
                 units = self.unidades_notificadoras
                 if self.rows.get("unidades_notificadoras", BROADCAST_ROWS + 1) <= BROADCAST_ROWS:
                     return resolve(df, out, {"unidade_id": key[0]}, units, "unidade_id")
-                return resolve_large(df, out, key[0], units, "unidade_id", F.col("__row"))
+                return resolve_large(df, out, key[0], units, "unidade_id")
         raise TypeError(rule)
 
     def pacientes(self, *columns: str) -> DataFrame:

@@ -20,7 +20,7 @@ def stream_ingest(
 
     def step(batch: DataFrame, number: int) -> None:
         path = f"{out}/checked/batch={number}"  # checked once, then parted by reading it
-        with_reason(batch, patients, units, row_key).write.mode("overwrite").parquet(path)
+        with_reason(batch, patients, units).write.mode("overwrite").parquet(path)
         checked = batch.sparkSession.read.parquet(path)
         good = as_cases(checked.filter(F.col("motivo").isNull()), F.col(row_key))
         good.write.mode("overwrite").parquet(f"{out}/accepted/batch={number}")

@@ -166,3 +166,10 @@ def test_pca_matches_svd(spark):
     z = (z - z.mean(0)) / z.std(0)
     want = z @ np.linalg.svd(z, full_matrices=False)[2].T
     assert np.abs(got) == pytest.approx(np.abs(want), abs=1e-8)
+
+
+def test_empty_profile_clusters(spark):
+    fields = ", ".join(f"{c} double" for c in cluster.FEATURES if c != "total_confirmados")
+    profile = spark.createDataFrame([], f"municipio_id int, total_confirmados double, {fields}")
+    assert cluster.cluster_municipalities(profile).count() == 0
+    assert cluster.kmeans_sweep(profile, "municipio_id").count() == 0

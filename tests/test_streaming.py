@@ -23,7 +23,7 @@ def test_two_runs_equal_one_batch(spark, tmp_path):
 
     arrive(batch.filter("chegada < 700"))
     arrive(batch.filter("chegada >= 700"))
-    checked = ingest.with_reason(batch, patients, units, "chegada")
+    checked = ingest.with_reason(batch, patients, units)
     rejected = spark.read.parquet(f"{out}/rejected").select("chegada", "motivo")
     want = checked.filter("motivo IS NOT NULL").select("chegada", "motivo")
     assert rejected.exceptAll(want).count() == want.exceptAll(rejected).count() == 0
