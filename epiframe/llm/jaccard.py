@@ -283,16 +283,18 @@ class Join:
 
     def remaining(self, labels: DataFrame | None) -> DataFrame:
         """Every pair of different classes that shares a list and may still link."""
-        entries = self.labelled(labels).select("id", "n", "label", F.inline("prefix")).drop("df")
+        # Linked sets share extra(n) tokens, so the rarest of them stands before the last extra(n) - 1 of either.
+        rare = F.array_sort(F.transform("prefix", lambda x: F.struct(x["df"], x["token"], x["pos"])))
+        spare = F.greatest(extra(F.col("n"), self.percent) - 1, F.lit(0))
+        rare = F.slice(rare, F.lit(1), (F.size("prefix") - spare).cast("int"))
+        entries = self.labelled(labels).select("id", "n", "label", F.inline(rare)).drop("df")
         mixed = entries.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("token")
         entries = self.scratch.cut(entries.join(mixed, "token", "left_semi"), "mixed")
         a, b = (entries.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "label", "pos")]) for s in "ab")
         n, m = F.col("n_a"), F.col("n_b")
         pairs = a.join(b, "token").filter(
             (F.col("label_a") < F.col("label_b")) & _near_sizes(n, m, self.percent) & _position_skip(n, m, F.col("pos_a"), F.col("pos_b"), self.percent))
-        counted = pairs.groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("shared"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-        return counted.filter(_may_link(n, m, F.col("shared"), self.percent)).select(
-            F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+        return self.bounded(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
 
     def classes(self) -> DataFrame:
         """node (a set's number), label for every set that has a link; None when there are no links."""
