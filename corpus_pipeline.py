@@ -31,8 +31,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of two or more lines go; so does a document of which no word is left."""
-    out = lines.drop_repeated_lines(docs, 2)
+    """Later copies of runs of two or more lines, or of one line of 50 words, go; so does a document of which no word is left."""
+    out = lines.drop_repeated_lines(docs, 2, long_words=50)
     out = out.filter((F.col("n_removed") == 0) | (F.size(words(F.col("text"))) > 0)).select(*docs.columns)
     return _texts(out, F.col("text"))
 

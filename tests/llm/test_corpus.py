@@ -88,6 +88,18 @@ def test_lines(docs, texts, empty):
     assert lines.drop_repeated_lines(empty, 2).count() == 0
 
 
+def test_long_lines(spark):
+    import corpus_pipeline
+
+    long, other, short = prose(51, 60), prose(52, 50), prose(53, 49)
+    rows = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd"), (3, other), (4, other), (5, f"e\n{short}\nf"), (6, f"g\n{short}\nh"), (7, f"{long}\n\ni\n{long}")]
+    got = {r.doc_id: r for r in lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), 2, long_words=50).collect()}
+    assert [got[i].text for i in range(1, 8)] == [rows[0][1], "c\nd", other, "", rows[4][1], rows[5][1], "\ni"]
+    assert [(got[i].n_removed, got[i].n_runs) for i in range(1, 8)] == [(0, 0), (1, 1), (0, 0), (1, 1), (0, 0), (0, 0), (2, 2)]
+    out = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert out[2] == "c\nd" and 4 not in out and out[5] == rows[4][1]
+
+
 def test_shards(docs, texts, empty):
     rows = sharding.balanced_shards(docs, 4).collect()
     same([(r.doc_id, r.size, r.text_crc32) for r in rows], [(i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in texts])
