@@ -25,6 +25,8 @@ STEP = 24.0
 DISCOUNT = 0.75
 #: Words beyond this many make a task's table of words start anew.
 TABLE = 1 << 19
+#: Tokens of which a task sums up the triples at once.
+HELD = 2_000_000
 END = b"\n"  # no word holds a blank, so the end has a name of its own
 
 
@@ -177,8 +179,8 @@ def _hashes(table: WordTable) -> np.ndarray:
 class Model:
     """A trained model: where its levels lie, and the counts its formulas need."""
 
-    def __init__(self, folder: str, words: int, tokens: int, shards: int):
-        self.folder, self.words, self.tokens, self.shards = folder, words, tokens, shards
+    def __init__(self, folder: str, words: int, tokens: int, shards: int, order: int = 2):
+        self.folder, self.words, self.tokens, self.shards, self.order = folder, words, tokens, shards, order
         self.maps: dict = {}
 
     def __getstate__(self):
@@ -211,37 +213,55 @@ class Model:
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1.0) / (self.tokens + self.words + 1.0))
 
-    def followers(self, shard: int) -> dict:
-        if shard not in self.maps:
-            name = f"level2-{shard}"
-            self.maps[shard] = {
+    def followers(self, depth: int, shard: int) -> dict:
+        if (depth, shard) not in self.maps:
+            name = f"level{depth}-{shard}"
+            self.maps[depth, shard] = {
                 "pointers": _open_ef(self.folder, f"{name}-pointers"), "ids": _open_ef(self.folder, f"{name}-ids"),
                 "probability": _open(self.folder, name, "probability"), "backoff": _open(self.folder, name, "backoff")}
-        return self.maps[shard]
-
-    def bigram(self, before: np.ndarray, word: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """log10 P(word | before) for pairs in ascending order of ``before``; -1: unknown words."""
-        out = lower.copy()
-        _, starts = self.vocabulary()
-        shard = np.searchsorted(starts, before, "right") - 1
-        for i in np.unique(shard[before >= 0]):
-            rows = np.flatnonzero((shard == i) & (before >= 0))
-            level = self.followers(int(i))
-            node = before[rows] - starts[i]
-            first, last = level["pointers"].at(node), level["pointers"].at(node + 1)
-            backed = level["backoff"][node].astype(np.float64) / -STEP
+        return self.maps[depth, shard]
+
+    def descend(self, depth: int, shard: np.ndarray, node: np.ndarray, word: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 P(word | context), and the word's node of this depth (-1: none).
+
+        ``node`` is the context's node of the level above, counted in its shard; -1: none, and ``lower``
+        stays. ``word`` is -1 if unknown.
+        """
+        out, place = lower.copy(), np.full(len(node), -1, np.int64)
+        known = np.flatnonzero(node >= 0)
+        known = known[np.argsort((shard[known] << 40) | node[known])]
+        parts, begin = np.unique(shard[known], return_index=True)
+        for i, rows in zip(parts.tolist(), np.split(known, begin[1:]), strict=False):
+            level = self.followers(depth, i)
+            nodes = node[rows]
+            first, last = level["pointers"].at(nodes), level["pointers"].at(nodes + 1)
+            backed = level["backoff"][nodes].astype(np.float64) / -STEP
             out[rows] = lower[rows] + backed  # a context without followers has a backoff of 1
             held = np.flatnonzero((last > first) & (word[rows] >= 0))
-            rows, first, last, backed = rows[held], first[held], last[held], backed[held]
+            rows, first, last = rows[held], first[held], last[held]
             base = np.where(first > 0, level["ids"].at(np.maximum(first - 1, 0)) + 1, 0)
             wanted = base + word[rows]
             at = level["ids"].successor(wanted, first, last)
             found = np.flatnonzero(at < last)
             found = found[level["ids"].at(at[found]) == wanted[found]]
             own = level["probability"][at[found]].astype(np.float64) / -STEP
-            # discounted share of the pair, plus the share that falls to the lower order
+            # discounted share of the n-gram, plus the share that falls to the lower order
             out[rows[found]] = np.log10(10.0**own + 10.0 ** out[rows[found]])
-        return out
+            place[rows[found]] = at[found]
+        return out, place
+
+    def shard_of_id(self, ids: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.vocabulary()[1], ids, "right") - 1
+
+    def bigram(self, before: np.ndarray, word: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 P(word | before) and the pairs' nodes; -1: unknown words, or no such pair."""
+        shard = self.shard_of_id(before)
+        node = np.where(before >= 0, before - self.vocabulary()[1][np.maximum(shard, 0)], -1)
+        return self.descend(2, shard, node, word, lower)
+
+    def trigram(self, before: np.ndarray, pair: np.ndarray, word: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """log10 P(word | pair) for contexts by their first word and their node; -1: no such pair."""
+        return self.descend(3, self.shard_of_id(before), pair, word, lower)[0]
 
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -253,13 +273,57 @@ def _quantise(log10: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(log10 * -STEP), 0, 255).astype(np.uint8)
 
 
-def train(texts: DataFrame, scratch: Scratch, shards: int | None = None) -> Model:
-    """Learn from the column ``text``: counts of words and of pairs of words, all of them.
+def _distinct(u: np.ndarray, v: np.ndarray, w: np.ndarray, numbers: int) -> tuple[np.ndarray, ...]:
+    """The distinct triples in ascending order, and how often each stands."""
+    if numbers <= 1 << 21:
+        key, hits = np.unique((u << 42) | (v << 21) | w, return_counts=True)
+        return key >> 42, (key >> 21) & 0x1FFFFF, key & 0x1FFFFF, hits
+    pairs, inverse = np.unique((u << 32) | v, return_inverse=True)
+    key, hits = np.unique((inverse << 32) | w, return_counts=True)
+    pairs = pairs[key >> 32]
+    return pairs >> 32, pairs & 0xFFFFFFFF, key & 0xFFFFFFFF, hits
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of numbers under 2 ** 32 as one compressed string, by planes of bytes; the first as steps."""
+    steps = np.diff(columns[0], prepend=0)
+    planes = [np.ascontiguousarray(c.astype(np.uint32).view(np.uint8).reshape(-1, 4).T) for c in (steps, *columns[1:])]
+    raw = np.concatenate([p.ravel() for p in planes])
+    return len(columns[0]).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+
+def _unpacked(blob: bytes, columns: int) -> list[np.ndarray]:
+    n = int.from_bytes(blob[:8], "little")
+    raw = np.frombuffer(pa.Codec("zstd").decompress(blob[8:], 4 * n * columns, asbytes=True), np.uint8).reshape(columns, 4, n)
+    out = [np.ascontiguousarray(p.T).view(np.uint32).ravel().astype(np.int64) for p in raw]
+    return [np.cumsum(out[0]), *out[1:]]
+
+
+def _sorted_sums(u: np.ndarray, v: np.ndarray, w: np.ndarray, hits: np.ndarray, words: int) -> tuple[np.ndarray, ...]:
+    """Triples in ascending order, those of equal words summed up."""
+    bits = max(words, 1).bit_length()
+    if int(u.max()).bit_length() + 2 * bits <= 63:
+        order = np.argsort((u << (2 * bits)) | (v << bits) | w)
+    else:
+        order = np.lexsort((w, v, u))
+    u, v, w = u[order], v[order], w[order]
+    new = np.ones(len(u), bool)
+    new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+    first = np.flatnonzero(new)
+    return u[first], v[first], w[first], np.add.reduceat(hits[order], first)
+
+
+def train(texts: DataFrame, scratch: Scratch, shards: int | None = None, order: int = 2) -> Model:
+    """Learn from the column ``text``: counts of words, pairs and, at ``order`` 3, triples, all of them.
 
     P(w) = (c + 1) / (N + V + 1); P(w | v) = max(c(vw) - D, 0) / c(v) + D f(v) / c(v) P(w), with f(v)
     the number of different followers of v, absolute discount D. Pairs lie inside a text, whose first
-    word follows the end token. A task sums up what it reads before any row is shuffled.
+    word follows the end token. A task sums up what it reads before any row is shuffled. At order 3
+    P(w | u v) = max(c(uvw) - D, 0) / c(uv.) + D f(uv) / c(uv.) P(w | v), where c(uv.) counts the pair with
+    any follower; a text's first word has no pair before it and stays at P(w | v).
     """
+    if order not in (2, 3):
+        raise ValueError(f"order 2 or 3, not {order}")
     spark = texts.sparkSession
     shards = shards or partitions(spark)
     path = scratch.path("trie")
@@ -300,7 +364,7 @@ def train(texts: DataFrame, scratch: Scratch, shards: int | None = None) -> Mode
     for s in range(shards):
         if s not in by_shard:
             _save(folder, f"words-{s}", {"hashes": np.zeros(0, np.int64), "counts": np.zeros(0, np.int64)})
-    model = Model(folder, sum(r["words"] for r in by_shard.values()), sum(r["tokens"] for r in by_shard.values()), shards)
+    model = Model(folder, sum(r["words"] for r in by_shard.values()), sum(r["tokens"] for r in by_shard.values()), shards, order)
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, held, size = None, [], 0
@@ -339,11 +403,61 @@ def train(texts: DataFrame, scratch: Scratch, shards: int | None = None) -> Mode
             write_level(model, int(s), before[own], after[own], hits[own])
             yield pa.RecordBatch.from_arrays([pa.array([int(s)]), pa.array([len(own)])], names=["shard", "rows"])
 
-    pairs = light.mapInArrow(count_pairs, "shard long, before long, after long, hits long").repartition(shards, "shard")
-    done = {r["shard"] for r in scratch.cut(pairs.mapInArrow(write_pairs, "shard long, rows long"), "pairs").collect()}
+    def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Triples of each shard, packed; (u, end, end) stands for a pair at the end of a text."""
+        table, held, size = None, [], 0
+
+        def flush() -> pa.RecordBatch:
+            ids, _ = model.look_up(_hashes(table))
+            by_id = np.argsort(ids)
+            rank = np.empty_like(by_id)
+            rank[by_id] = np.arange(len(by_id))
+            flat = rank[np.concatenate(held)]
+            end = rank[table[END]]
+            previous, following = np.empty_like(flat), np.empty_like(flat)
+            previous[0], previous[1:] = end, flat[:-1]
+            following[-1], following[:-1] = end, flat[1:]
+            following[flat == end] = end
+            u, v, w, hits = _distinct(previous, flat, following, len(ids))
+            u, v, w = ids[by_id[u]], ids[by_id[v]], ids[by_id[w]]
+            starts = model.vocabulary()[1]
+            cuts = np.searchsorted(u, starts)
+            found = np.flatnonzero(np.diff(cuts))
+            packed = [_packed(u[a:b] - starts[s], v[a:b], w[a:b], hits[a:b]) for s, a, b in zip(found, cuts[found], cuts[found + 1], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(packed, pa.binary())], names=["shard", "triples"])
+
+        for _, rows, now in _tokens(batches):
+            if now is not table or size > HELD:
+                if held:
+                    yield flush()
+                table, held, size = now, [], 0
+            held.extend(rows)
+            size += sum(map(len, rows))
+        if held:
+            yield flush()
+
+    def write_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed: dict[int, list] = {}
+        for batch in batches:
+            for s, blob in zip(batch.column("shard").to_pylist(), batch.column("triples").to_pylist(), strict=True):
+                packed.setdefault(s, []).append(blob)
+        ids, _ = model.look_up(np.array([word_hash(END)], np.int64))
+        for s in sorted(packed):
+            columns = [np.concatenate(c) for c in zip(*(_unpacked(blob, 4) for blob in packed.pop(s)), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([s]), pa.array([write_levels(model, s, int(ids[0]), *columns)])], names=["shard", "rows"])
+
+    if order == 2:
+        counted = light.mapInArrow(count_pairs, "shard long, before long, after long, hits long").repartition(shards, "shard")
+        written = counted.mapInArrow(write_pairs, "shard long, rows long")
+    else:
+        counted = light.mapInArrow(count_triples, "shard long, triples binary").repartition(shards, "shard")
+        written = counted.mapInArrow(write_triples, "shard long, rows long")
+    done = {r["shard"] for r in scratch.cut(written, "grams").collect()}
+    none = np.zeros(0, np.int64)
     for s in set(range(shards)) - done:
-        none = np.zeros(0, np.int64)
         write_level(model, s, none, none, none)
+        if order == 3:
+            write_nodes(model, f"level3-{s}", none, none, none, 0)
     return model
 
 
@@ -358,18 +472,36 @@ def write_level(model: Model, shard: int, before: np.ndarray, after: np.ndarray,
     first = np.flatnonzero(new)
     hits = np.add.reduceat(hits, first) if len(first) else hits
     before, after = before[first] - starts[shard], after[first]
-    followers = np.bincount(before, minlength=len(counts))
+    write_nodes(model, f"level2-{shard}", before, after, hits, len(counts))
+
+
+def write_levels(model: Model, shard: int, end: int, before: np.ndarray, middle: np.ndarray, after: np.ndarray, hits: np.ndarray) -> int:
+    """Levels 2 and 3 of one shard from its triples, ``before`` counted in the shard: how many triples."""
+    _, starts = model.vocabulary()
+    before, middle, after, hits = _sorted_sums(before, middle, after, hits, model.words)
+    new = np.ones(len(before), bool)
+    new[1:] = (before[1:] != before[:-1]) | (middle[1:] != middle[:-1])
+    first = np.flatnonzero(new)
+    node = np.cumsum(new) - 1  # places of the pairs in level 2, which holds them in this order
+    write_level(model, shard, before[first] + starts[shard], middle[first], np.add.reduceat(hits, first))
+    whole = middle != end  # a pair at the end of a text has no follower
+    write_nodes(model, f"level3-{shard}", node[whole], after[whole], hits[whole], len(first))
+    return int(whole.sum())
+
+
+def write_nodes(model: Model, name: str, node: np.ndarray, after: np.ndarray, hits: np.ndarray, nodes: int) -> None:
+    """One level of a shard from its n-grams in ascending order of node and follower."""
+    followers = np.bincount(node, minlength=nodes)
     pointers = np.concatenate([[0], np.cumsum(followers)])
     last = pointers[1:][followers > 0] - 1
-    base = np.zeros(len(counts), np.int64)
+    base = np.zeros(nodes, np.int64)
     base[followers > 0] = np.concatenate([[0], np.cumsum(after[last] + 1)[:-1]]) if len(last) else 0
-    seen = np.bincount(before, weights=hits, minlength=len(counts))
+    seen = np.bincount(node, weights=hits, minlength=nodes)
     with np.errstate(divide="ignore", invalid="ignore"):
         backoff = np.where(followers > 0, np.log10(DISCOUNT * followers / seen), 0.0)
-        share = np.log10((hits - DISCOUNT) / seen[before])
-    name = f"level2-{shard}"
+        share = np.log10((hits - DISCOUNT) / seen[node])
     _save(model.folder, f"{name}-pointers", EliasFano.build(pointers))
-    _save(model.folder, f"{name}-ids", EliasFano.build(base[before] + after))
+    _save(model.folder, f"{name}-ids", EliasFano.build(base[node] + after))
     _save(model.folder, name, {"probability": _quantise(share), "backoff": _quantise(backoff)})
 
 
@@ -388,12 +520,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             previous[starts] = table[END] if END in table else 0
             pairs, inverse = np.unique((previous << 32) | flat, return_inverse=True)
             before, word = ids[pairs >> 32], ids[pairs & 0xFFFFFFFF]
-            order = np.argsort(before, kind="stable")
-            probability = np.empty(len(pairs))
-            probability[order] = model.bigram(before[order], word[order], base[pairs[order] & 0xFFFFFFFF])
+            probability, node = model.bigram(before, word, base[pairs & 0xFFFFFFFF]) if model.words else (base[pairs & 0xFFFFFFFF], np.full(len(pairs), -1))
+            each = probability[inverse]
+            if model.order == 3 and model.words:
+                later = np.ones(len(flat), bool)
+                later[starts] = False  # a text's first word has no pair before it
+                later = np.flatnonzero(later)
+                triples, back = np.unique((inverse[later - 1] << 32) | inverse[later], return_inverse=True)
+                context, now = triples >> 32, triples & 0xFFFFFFFF
+                each[later] = model.trigram(before[context], node[context], word[now], probability[now])[back]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(np.add.reduceat((counts[flat] > 0).astype(np.int64), starts)),
-                 pa.array(np.add.reduceat(base[flat], starts)), pa.array(np.add.reduceat(probability[inverse], starts))],
+                 pa.array(np.add.reduceat(base[flat], starts)), pa.array(np.add.reduceat(each, starts))],
                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
@@ -401,8 +539,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return out.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
 
 
-def train_and_score(docs: DataFrame, held_out) -> DataFrame:
-    """Every document's log10 probability under a model of those where ``held_out`` is false.
+def train_and_score(docs: DataFrame, held_out, order: int = 2) -> DataFrame:
+    """Every document's log10 probability under a model, of this order, of those where ``held_out`` is false.
 
     A-Z are lower-cased; tokens are words between white space, then one end. A null text is empty:
     its end alone is scored. Repeated rows count and are scored each. With no training text every word is
@@ -410,5 +548,5 @@ def train_and_score(docs: DataFrame, held_out) -> DataFrame:
     Result: doc_id, n_tokens, n_known, base_score, score, train_tokens.
     """
     scratch = Scratch(docs.sparkSession)
-    model = train(docs.filter(~F.coalesce(held_out, F.lit(False))).select("text"), scratch)
+    model = train(docs.filter(~F.coalesce(held_out, F.lit(False))).select("text"), scratch, order=order)
     return score(docs, model)

@@ -40,9 +40,9 @@ def remainder(modulus: int):
 
 @register("op2_elias_fano_trie")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """log10 probabilities of all texts under a model of the training part."""
+    """log10 probabilities of all texts under a model of words, pairs and triples of the training part."""
     held_out = remainder(7) == 2
-    return lm.train_and_score(documents(spark, sf_dir).select("doc_id", "text"), held_out).select(
+    return lm.train_and_score(documents(spark, sf_dir).select("doc_id", "text"), held_out, order=3).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

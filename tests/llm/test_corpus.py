@@ -288,6 +288,55 @@ def test_language_model(docs, texts, empty):
     assert lm.train_and_score(empty, held).count() == 0
 
 
+def test_language_model_of_triples(docs, texts, empty):
+    held = F.col("doc_id").isin(9, 13)
+    rows = {}
+    for r in lm.train_and_score(docs, held, order=3).collect():
+        rows.setdefault((r.doc_id, r.n_tokens), r.score)
+    token_rows = [([*WORD.findall(re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")), "\n"], i) for i, t in texts]
+    c, grams = Counter(), Counter()
+    for tokens, i in token_rows:
+        if i not in (9, 13):
+            c.update((b,) for b in tokens)
+            line = ["\n", *tokens]
+            grams.update(zip(line, tokens, strict=False))
+            grams.update(zip(line, tokens, tokens[1:], strict=False))
+    followers, seen = Counter(g[:-1] for g in grams), Counter()
+    for g, n in grams.items():
+        seen[g[:-1]] += n
+    total = sum(c.values())
+
+    def p(*g):
+        if len(g) == 1:
+            return (c[g] + 1) / (total + len(c) + 1)
+        low, context = p(*g[1:]), g[:-1]
+        return (max(grams[g] - 0.75, 0) + 0.75 * followers[context] * low) / seen[context] if seen[context] else low
+
+    assert abs(sum(p("x", "y", *b) for b in c) + p("x", "y", "never seen") - 1) < 1e-9
+    apart = 0
+    for tokens, i in token_rows:
+        line = ["\n", *tokens]
+        pairs = sum(np.log10(p(*g)) for g in zip(line, tokens, strict=False))
+        full = np.log10(p("\n", tokens[0])) + sum(np.log10(p(*g)) for g in zip(line, tokens, tokens[1:], strict=False))
+        assert abs(rows[i, len(tokens)] - full) <= len(tokens) * 1.5 / lm.STEP
+        apart += abs(pairs - full) > len(tokens) * 3 / lm.STEP  # longer context tells in some texts
+    assert apart
+    assert lm.train_and_score(empty, held, order=3).count() == 0
+    with pytest.raises(ValueError):
+        lm.train_and_score(docs, held, order=4)
+
+
+def test_triples_in_parts():
+    rng = np.random.default_rng(3)
+    u, v, w = rng.integers(0, 9, (3, 500))
+    small, large = lm._distinct(u, v, w, 9), lm._distinct(u, v, w, 1 << 22)
+    assert all((a == b).all() for a, b in zip(small, large, strict=True))
+    assert all((a == b).all() for a, b in zip(lm._unpacked(lm._packed(*small), 4), small, strict=True))
+    for words in (9, 1 << 31):
+        merged = lm._sorted_sums(u, v, w, np.ones(500, np.int64), words)
+        assert all((a == b).all() for a, b in zip(merged, small, strict=True))
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((600, 16)).astype(np.float32)
