@@ -31,6 +31,15 @@ def check_fk(child: DataFrame, column: str, parent: DataFrame, key: str, bounded
     return keys.join(F.broadcast(ids) if bounded else ids, "chave", "left_anti")
 
 
+def fk_breaches(tables: dict[str, DataFrame], names: list[str]) -> DataFrame:
+    """tabela, coluna, chave, n_linhas: child keys without a parent row, over all declared references of these tables."""
+    return reduce(DataFrame.unionByName, [
+        check_fk(tables[name], ref.column, tables[ref.parent], SILVER[ref.parent].key, ref.parent in BOUNDED_TABLES).select(
+            F.lit(name).alias("tabela"), F.lit(ref.column).alias("coluna"), F.col("chave").cast("long").alias("chave"), "n_linhas")
+        for name in names for ref in SILVER[name].refs
+    ])
+
+
 def _counters(df: DataFrame, table: str, rule: str, tests: dict[str, Column]) -> DataFrame:
     """One (table, column, rule, count) row per test, from a single aggregate over ``df``."""
     counted = df.agg(*[F.count_if(t).alias(c) for c, t in tests.items()])

@@ -1,7 +1,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from epiframe.contracts import SILVER
 from epiframe.operators import audit, dedup, ingest, quality
 from workload import model
 
@@ -121,3 +123,11 @@ def test_contract_checks(spark):
     assert [tuple(r) for r in quality.check_fk(df, "id", parent, "p").collect()] == [(2, 1)]
     assert quality.check_not_null(df, "x", ["id", "t"]).filter("coluna = 't'").first().n_violacoes == 1
     assert quality.check_length(df, "x", {"t": 3}).first().n_violacoes == 1
+
+
+def test_fk_breaches_of_every_declared_reference(spark):
+    refs = SILVER["notificacoes_casos"].refs
+    child = spark.range(1).select(*[F.lit(i + 1).cast("long").alias(r.column) for i, r in enumerate(refs)])
+    tables = {r.parent: spark.createDataFrame([], f"{SILVER[r.parent].key} long") for r in refs} | {"notificacoes_casos": child}
+    got = quality.fk_breaches(tables, ["notificacoes_casos"]).collect()
+    assert sorted(map(tuple, got)) == sorted(("notificacoes_casos", r.column, i + 1, 1) for i, r in enumerate(refs))

@@ -199,6 +199,31 @@ def _(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
+_REFS = [(n, ref) for n in LOAD_ORDER for ref in SILVER[n].refs]
+
+
+@query(
+    "fk_declared_violations",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS tabela, '{r.column}' AS coluna, CAST({r.column} AS BIGINT) AS chave, count(*) AS n_linhas FROM {n} "
+        f"WHERE {r.column} IS NOT NULL AND {r.column} NOT IN (SELECT {SILVER[r.parent].key} FROM {r.parent}) GROUP BY {r.column}"
+        for n, r in _REFS
+    )
+    + " UNION ALL SELECT 'bronze', 'municipio_residencia', chave, count(*) FROM (SELECT CAST(TRY_CAST(nullif(nullif("
+    "trim(b.municipio_residencia), ''), '/N') AS INT) AS BIGINT) AS chave FROM bronze b) WHERE chave IS NOT NULL "
+    "AND chave NOT IN (SELECT municipio_id // 10 FROM municipios) GROUP BY chave",
+)
+def _(spark, sf):
+    s = model.silver(spark, sf)
+    tables = s.tables()
+    # The raw town code has six digits: the town's id without its check digit.
+    codes = s.bronze.select(to_int(nullify(F.col("municipio_residencia")), "int").cast("long").alias("code"))
+    prefixes = tables["municipios"].select(F.expr("municipio_id div 10").alias("prefix"))
+    towns = quality.check_fk(codes, "code", prefixes, "prefix", "municipios" in BOUNDED_TABLES).select(
+        F.lit("bronze").alias("tabela"), F.lit("municipio_residencia").alias("coluna"), "chave", "n_linhas")
+    return quality.fk_breaches(tables, LOAD_ORDER).unionByName(towns)
+
+
 @query(
     "not_null_violations",
     " UNION ALL ".join(
