@@ -163,10 +163,13 @@ def remove_repeats(
     else, in the same document or another, overlapping or not. Strings are judged on the input. With
     ``keep_first`` the first copy of each string, by doc_id, text hash and place, doesn't count as
     such and stays; with ``whole_characters`` a range leaves a character that it cuts. Null text:
-    as empty; rows that repeat doc_id and text stand for texts of their own, so each is a repeat of
+    as empty; ``gram`` is cut to the threshold; rows that repeat doc_id and text stand for texts of their own, so each is a repeat of
     the other; an empty table gives no rows; input columns named spans or kept give way.
     Result: the columns of ``docs``, spans (array of start and end, maximal), kept (binary).
     """
+    if threshold < 1 or gram < 1:
+        raise ValueError(f"threshold and gram must be 1 byte at least, not {threshold} and {gram}")
+    gram = min(gram, threshold)  # a longer gram than the strings would miss some
     scratch = Scratch(docs.sparkSession)
     columns = [c for c in docs.columns if c not in ("spans", "kept")]
     rows = docs.select(*columns).withColumn("text_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))

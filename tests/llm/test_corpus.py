@@ -78,6 +78,13 @@ def test_repeated_strings_keep_the_first_copy(docs):
     assert "gęślą" in bytes(got[8].kept).decode() and "gęślą" not in bytes(got[9].kept).decode()
 
 
+def test_repeats_shorter_than_a_gram(spark):
+    shared = prose(61, 20)[:60]
+    rows = [(1, "abc" + shared + "def"), (2, "xy" + shared + "zz"), (3, prose(62, 30))]
+    got = {r.doc_id: bytes(r.kept).decode() for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 50).collect()}
+    assert got == {1: "abcdef", 2: "xyzz", 3: rows[2][1]}
+
+
 def test_lines(docs, texts, empty):
     got = {r.doc_id: r for r in lines.drop_repeated_lines(docs, 2).collect()}
     assert len(got) == len({i for i, _ in texts})
