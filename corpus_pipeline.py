@@ -38,17 +38,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays: the one with the least id.
+    """One row of each class of near duplicates stays: the one with the least id, null ids last.
 
-    Classes join five-word shingle sets at a similarity of 0.8. Empty documents are in no class. Of
-    rows that repeat an id in a class, as a repeated row does, one stays.
+    Classes join five-word shingle sets at a similarity of 0.8. Empty documents are in no class. Ids may
+    repeat or be null: rows are told apart by a hash of id and text, and of equal rows one stays.
     """
-    classes = jaccard.near_classes(docs, 5, 80)
-    keep = classes.filter((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = keep.select(F.col("doc_id").alias("keep_id")).distinct()
-    held = docs.withColumn("keep_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    held = docs.withColumn("row", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    classes = jaccard.near_classes(held.select(F.col("row").alias("doc_id"), "text"), 5, 80).filter(F.col("n_shingles") > 0)
+    classes = classes.select(F.col("doc_id").alias("row"), F.col("component_id").alias("class")).distinct()
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    firsts = held.select("row", "doc_id").join(classes, "row").groupBy("class").agg(F.min(place).alias("first"))
     full = F.size(words(F.col("text"))) > 0
-    kept = held.filter(full).join(keep, held.doc_id.eqNullSafe(F.col("keep_id")), "left_semi").dropDuplicates(["doc_id", "keep_hash"])
+    kept = held.filter(full).join(firsts.select("first.row"), "row", "left_semi").dropDuplicates(["row"])
     return kept.unionByName(held.filter(~full)).select(*docs.columns)
 
 

@@ -410,6 +410,16 @@ def test_network_gradients():
         assert abs((up - down) / 2e-3 - g[name][at]) < 1e-4
 
 
+def test_near_duplicates_without_own_ids(spark):
+    import corpus_pipeline
+
+    a, b, c, d, e = (prose(700 + i, 90) for i in range(5))
+    rows = [(None, a), (None, a + " end"), (None, b), (2, b + " end"), (7, c), (3, c + " end"), (7, d), (9, e), (9, e + " end"), (9, e), (None, None), (None, "")]
+    stay = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    held = Counter((r.doc_id, (r.text or "").removesuffix(" end")) for r in stay)
+    assert held == Counter([(None, a), (2, b), (3, c), (7, d), (9, e), (None, ""), (None, "")])
+
+
 def test_pipeline(spark, texts, tmp_path):
     import corpus_pipeline
 
