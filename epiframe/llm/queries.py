@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from epiframe.llm import ann, bpe, jaccard, lines, lm, packing, quality, repeats, sharding, toxicity
+from epiframe.llm import ann, bpe, concat, jaccard, lines, lm, merkle, packing, quality, repeats, runs, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,3 +178,72 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+MERKLE_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, source, lang, n_chars, text, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: unicode(c)::BIGINT)),
+         lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS raw FROM documents),
+f AS (SELECT *, coalesce(xor(raw, 4294967295) % 5 = 0, false) AS tampered, concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+        coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head FROM d),
+l AS (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+             sha256(head || coalesce(strlen(text) || ':' || CASE WHEN tampered THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS claimed FROM f),
+numbered AS (SELECT *, dense_rank() OVER (ORDER BY coalesce('1' || hex(encode(source)), '0')) - 1 AS tree,
+                    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM l),
+nodes AS (SELECT tree, 0 AS level, i, n, leaf AS digest FROM numbered
+          UNION ALL SELECT tree, level + 1, i // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY tree, level, i // 16, n),
+subroots AS (SELECT tree, digest, count(*) OVER () AS n FROM nodes WHERE n = 1),
+top AS (SELECT 0 AS level, tree AS i, n, digest FROM subroots
+        UNION ALL SELECT level + 1, i // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 16, n),
+ways AS (SELECT x.tree, x.i, n.level, n.i < x.i // 16 ** n.level AS before, string_agg(n.digest, '' ORDER BY n.i) AS digests
+         FROM numbered x JOIN nodes n ON n.tree = x.tree AND n.i // 16 = x.i // (16 ** (n.level + 1))::BIGINT AND n.n > 1 AND n.i <> x.i // (16 ** n.level)::BIGINT GROUP BY ALL),
+uppers AS (SELECT x.tree, t.level, t.i < x.tree // 16 ** t.level AS before, string_agg(t.digest, '' ORDER BY t.i) AS digests
+           FROM subroots x JOIN top t ON t.i // 16 = x.tree // (16 ** (t.level + 1))::BIGINT AND t.n > 1 AND t.i <> x.tree // (16 ** t.level)::BIGINT GROUP BY ALL),
+heights AS (SELECT tree, max(level) AS height FROM nodes GROUP BY tree),
+steps AS (SELECT x.tree, x.i, s.level FROM numbered x, (SELECT unnest(range(0, 40)) AS level) s),
+path AS (SELECT x.tree, x.i, list({'level': s.level, 'a': coalesce(a.digests, u.digests, ''), 'b': coalesce(b.digests, v.digests, '')} ORDER BY s.level) AS way
+         FROM numbered x JOIN heights h ON h.tree = x.tree JOIN steps s ON s.tree = x.tree AND s.i = x.i AND s.level < h.height + (SELECT max(level) FROM top)
+         LEFT JOIN ways a ON a.tree = x.tree AND a.i = x.i AND a.level = s.level AND a.before LEFT JOIN ways b ON b.tree = x.tree AND b.i = x.i AND b.level = s.level AND NOT b.before
+         LEFT JOIN uppers u ON u.tree = x.tree AND u.level = s.level - h.height AND u.before LEFT JOIN uppers v ON v.tree = x.tree AND v.level = s.level - h.height AND NOT v.before
+         GROUP BY x.tree, x.i),
+folds AS (SELECT tree, i, 0 AS k, claimed AS digest, way FROM numbered LEFT JOIN path USING (tree, i)
+          UNION ALL SELECT tree, i, k + 1, sha256(way[k + 1].a || digest || way[k + 1].b), way FROM folds WHERE k < coalesce(len(way), 0)),
+folded AS (SELECT tree, i, digest, way FROM folds WHERE k = coalesce(len(way), 0))
+SELECT x.doc_id, x.leaf, s.digest AS subroot, r.digest AS root, sha256(coalesce(array_to_string(list_transform(w.way, lambda y: y.a || y.b), ''), '')) AS proof_sha256,
+       w.digest AS folded_root, w.digest = r.digest AS verified
+FROM numbered x JOIN subroots s ON s.tree = x.tree JOIN folded w ON w.tree = x.tree AND w.i = x.i, (SELECT digest FROM top WHERE n = 1) r
+"""
+
+
+@register("op11_merkle_manifest", MERKLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle roots and proofs of all documents by source, and what rows with changed texts fold to."""
+    changed = F.when(F.coalesce(remainder(5) == 0, F.lit(False)), F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.col("text"))
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    nodes = merkle.manifest(
+        documents(spark, sf_dir), "source", "doc_id", merkle.leaf_digest(*head, F.col("text")),
+        {"doc_id": F.col("doc_id"), "claimed": merkle.leaf_digest(*head, changed)})
+    return nodes.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"),
+        merkle.folded(F.col("claimed"), F.col("path")).alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@register("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of all texts, every tenth with a planted repetition, as digests."""
+    found = runs.periodic_runs(documents(spark, sf_dir), change=runs.planted)
+    strongest = F.aggregate(
+        F.slice("runs", F.lit(2), F.greatest(F.size("runs") - 1, F.lit(0))), F.get("runs", F.lit(0)),
+        lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("best", strongest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
+@register("op13_concat_and_cut")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as one stream of tokens, cut into sequences of 1024."""
+    return concat.concat_and_cut(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), 1024, 0).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
