@@ -122,6 +122,7 @@ TRIMESTERS = ("1º trimestre", "2º trimestre", "3º trimestre")
 SEXES = ("Masculino", "Feminino")
 
 # Study window of the statistics, both ends included.
+# --- Fixed values: study window, age bands, features, gold tables and the contracts below must be as they are ---
 STUDY_START, STUDY_END = "2018-01-01", "2026-06-10"
 
 # Age bands: exclusive upper bound in years -> name; everything else is the last band.
@@ -307,10 +308,12 @@ SILVER = {
 # Parents come before children.
 LOAD_ORDER = tuple(SILVER)
 
-# Dimensions whose row count is bounded by the domain of their key, so that a broadcast
-# is safe at any data volume: 27 unit codes; SMALLINT country codes; six-digit
-# municipality prefixes; SMALLINT region codes within 27 units.
-BOUNDED_TABLES = frozenset({"ufs", "paises", "municipios", "regionais_saude"})
+# Most rows a lookup in a dimension can have, by the domain of its key: 27 unit codes; SMALLINT
+# country codes; six-character prefixes of whole numbers; SMALLINT region codes within 27 units.
+DOMAIN_ROWS = {"ufs": 27, "paises": 1 << 16, "municipios": 1_100_000, "regionais_saude": 27 << 16}
+
+# Dimensions that such a bound lets be broadcast at any data volume.
+BOUNDED_TABLES = frozenset(DOMAIN_ROWS)
 
 GOLD = (
     "sazonalidade_semanal",

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from epiframe.contracts import BOUNDED_TABLES, DEATH_LABELS, SILVER, Table
-
-VIOLATION = "tabela string, coluna string, regra string, n_violacoes long"
+from epiframe.contracts import BOUNDED_TABLES, DEATH_LABELS, SILVER
 
 
 def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,33 +58,81 @@ def check_length(df: DataFrame, table: str, widths: dict[str, int]) -> DataFrame
     return _counters(df, table, "length", {c: F.char_length(c) > n for c, n in widths.items()})
 
 
-def apply_defaults(df: DataFrame, table: Table) -> DataFrame:
-    """Contract defaults in place of NULL."""
-    known = {c: v for c, v in table.defaults.items() if c in df.columns}
-    return df.fillna(known) if known else df
-
-
-def table_violations(tables: dict[str, DataFrame], name: str) -> DataFrame:
-    """Violation counts of every rule of one table, zero counts included."""
-    table, df = SILVER[name], tables[name]
-    parts = [check_not_null(df, name, table.required)]
-    if table.widths:
-        parts.append(check_length(df, name, table.widths))
-    for keys in ((table.key,), *table.uniques):
-        found = check_unique(df, list(keys)).agg(F.count("*").alias("n_violacoes"))
-        parts.append(_named(found, name, ",".join(keys), "unique"))
-    for ref in table.refs:
-        parent = SILVER[ref.parent]
-        missing = check_fk(df, ref.column, tables[ref.parent], parent.key, ref.parent in BOUNDED_TABLES)
-        found = missing.agg(F.coalesce(F.sum("n_linhas"), F.lit(0)).alias("n_violacoes"))
-        parts.append(_named(found, name, ref.column, "foreign key"))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _named(counted: DataFrame, table: str, column: str, rule: str) -> DataFrame:
-    return counted.select(
-        F.lit(table).alias("tabela"), F.lit(column).alias("coluna"), F.lit(rule).alias("regra"), "n_violacoes"
-    )
+RULES = ("not null", "length", "unique", "foreign key")
+
+
+def contract_breaches(tables: Mapping[str, DataFrame], names: Sequence[str], rules: Sequence[str] = RULES) -> DataFrame:
+    """Every breach of these rules in the contracts of these tables: tabela, coluna, regra, chave, n_linhas.
+
+    One pass over each table and one shuffle for all rules. A row gives its keys to the group of (table it
+    belongs to, key), once as a row of that table and once for each reference; a group with several rows
+    breaks uniqueness, one with references but no row breaks them. Missing and overlong values are
+    groups of their own (chave is null). Rows are added up before the shuffle, so a key that very many rows
+    share reaches it once a task. A reference to a table that is not given has no rows to point to; several key
+    columns are joined by commas; a null key counts as a row of its own kind and is no reference.
+    """
+    slots: dict[str, list[tuple[str, str]]] = {}
+    for name in names:
+        for ref in SILVER[name].refs if "foreign key" in rules else ():
+            slots.setdefault(ref.parent, []).append((name, ref.column))
+
+    def mark(group: str, column: str, slot: int, key: Column) -> Column:
+        return F.struct(F.lit(group).alias("group"), F.lit(column).alias("column"), F.lit(slot).alias("slot"), key.alias("chave"))
+
+    def text(*columns: str) -> Column:
+        return F.concat_ws(",", *[F.col(c).cast("string") for c in columns])
+
+    parts = []
+    for name in dict.fromkeys([*names, *(p for p in slots if p in tables)]):
+        table, marks = SILVER[name], []
+        if name in slots or name in names and "unique" in rules:
+            marks.append(mark(name, table.key, -1, text(table.key)))
+        if name in names and "unique" in rules:
+            marks += [mark(name, ",".join(keys), -1, text(*keys)) for keys in table.uniques]
+        if name in names and "foreign key" in rules:
+            marks += [F.when(F.col(r.column).isNotNull(), mark(r.parent, SILVER[r.parent].key, slots[r.parent].index((name, r.column)), text(r.column))) for r in table.refs]
+        none = F.lit(None).cast("string")
+        if name in names and "not null" in rules:
+            marks += [F.when(F.col(c).isNull(), mark(name, c, -2, none)) for c in table.required]
+        if name in names and "length" in rules:
+            marks += [F.when(F.char_length(c) > w, mark(name, c, -3, none)) for c, w in table.widths.items()]
+        if marks:
+            parts.append(tables[name].select(F.explode(F.filter(F.array(*marks), lambda m: m.isNotNull())).alias("m")).select("m.*"))
+    most = max(map(len, slots.values()), default=0)
+    here = F.when(F.col("slot") < 0, F.col("slot")).otherwise(-1).alias("kind")  # rows and references of a key meet
+    counted = reduce(DataFrame.unionByName, parts).groupBy("group", "column", here, "chave").agg(
+        F.count_if(F.col("slot") < 0).alias("rows"), *[F.count_if(F.col("slot") == i).alias(f"refs{i}") for i in range(most)])
+
+    own = F.when(F.col("kind") == -2, "not null").when(F.col("kind") == -3, "length")
+    if "unique" in rules:
+        own = own.when(F.col("rows") > 1, "unique")
+    found = [F.when(own.isNotNull() & F.col("group").isin(*names), F.struct(F.col("group").alias("tabela"), F.col("column").alias("coluna"), own.alias("regra"), F.col("rows").alias("n_linhas")))]
+    for i in range(most):
+        child = F.create_map(*[F.lit(x) for p, refs in slots.items() if i < len(refs) for x in (p, refs[i][0])])
+        column = F.create_map(*[F.lit(x) for p, refs in slots.items() if i < len(refs) for x in (p, refs[i][1])])
+        lost = (F.col("kind") == -1) & (F.col("rows") == 0) & (F.col(f"refs{i}") > 0)
+        found.append(F.when(lost, F.struct(
+            child[F.col("group")].alias("tabela"), column[F.col("group")].alias("coluna"), F.lit("foreign key").alias("regra"), F.col(f"refs{i}").alias("n_linhas"))))
+    return counted.select("chave", F.explode(F.filter(F.array(*found), lambda b: b.isNotNull())).alias("b")).select(
+        "b.tabela", "b.coluna", "b.regra", "chave", "b.n_linhas")
+
+
+def rule_counts(tables: Mapping[str, DataFrame], names: Sequence[str], rules: Sequence[str] = RULES) -> DataFrame:
+    """Violation counts of every rule of these tables, zero counts included: tabela, coluna, regra, n_violacoes.
+
+    Broken uniqueness counts keys, the other rules count rows.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    listed = [
+        (n, c, rule) for n in names for rule, columns in (
+            ("not null", SILVER[n].required), ("length", SILVER[n].widths),
+            ("unique", [",".join(k) for k in ((SILVER[n].key,), *SILVER[n].uniques)]), ("foreign key", [r.column for r in SILVER[n].refs]))
+        if rule in rules for c in columns]
+    # One row for each rule of the fixed contracts.
+    every = spark.createDataFrame(listed, "tabela string, coluna string, regra string")
+    size = F.when(F.col("regra") == "unique", F.count(F.lit(1))).otherwise(F.sum("n_linhas"))
+    found = contract_breaches(tables, names, rules).groupBy("tabela", "coluna", "regra").agg(size.alias("n"))
+    return every.join(found, ["tabela", "coluna", "regra"], "left").select("tabela", "coluna", "regra", F.coalesce("n", F.lit(0)).alias("n_violacoes"))
 
 
 def validate_closures(closures: DataFrame, cases: DataFrame) -> DataFrame:

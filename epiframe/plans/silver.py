@@ -7,13 +7,14 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from epiframe.contracts import LOAD_ORDER, SILVER
+from epiframe.contracts import DOMAIN_ROWS, LOAD_ORDER, SILVER
 from epiframe.functions.age import age_years_double
 from epiframe.functions.clean import (
     is_marked, label, not_sentinel, prefix6, to_date, to_int, week_of,
 )
 from epiframe.operators.ids import dense_id
-from epiframe.operators.lookup import resolve, resolve_large, resolve_unique, unique_lookup
+from epiframe.operators.lookup import BROADCAST_ROWS, resolve, resolve_large, resolve_unique, unique_lookup
+from epiframe.session import cut_counted
 from epiframe.sources.bronze import uf_siglas
 
 
@@ -102,21 +103,45 @@ CASE = {
 }
 
 
-# A written dimension of up to this many rows (one 4-byte key each) is broadcast.
-BROADCAST_ROWS = 2_000_000
+DIMENSIONS = ("ufs", "municipios", "paises", "regionais_saude", "unidades_notificadoras")
 
 
 class Silver:
-    """Lazy builders of the silver tables over one raw frame and one gazetteer."""
+    """Lazy builders of the silver tables over one raw frame and one gazetteer.
+
+    A table that looks keys up derives the dimensions it needs along with itself, unless ``settle`` or a load
+    has written them before: then it is one scan of the raw frame and joins with small stored tables.
+    """
 
     def __init__(self, bronze: DataFrame, gazetteer: DataFrame):
         self.bronze = bronze
         self.gazetteer = gazetteer
         self.spark = bronze.sparkSession
-        # Row counts of tables that have been written, see ``replace``.
-        self.rows: dict[str, int] = {}
+        # Row counts of dimensions: the most that their keys allow, exact once they are written.
+        self.rows: dict[str, int] = dict(DOMAIN_ROWS)
+
+    def settle(self) -> Silver:
+        """Write the dimensions to the shared folder, from one scan of the raw frame and one of the gazetteer."""
+        self.__dict__["codes"], _ = cut_counted(self.codes)
+        self.gazetteer, _ = cut_counted(self.gazetteer.distinct())
+        for name in DIMENSIONS:
+            self.replace(name, *cut_counted(self.table(name)))
+        return self
 
     # --- dimensions ---------------------------------------------------------------
+    @cached_property
+    def codes(self) -> DataFrame:
+        """Distinct raw codes of all dimensions, from one scan: kind, and up to three texts."""
+        groups = (
+            ("pais", "pais_residencia"), ("pais", "pais_provavel_infeccao"),
+            ("regional", "codigo_regional", "uf_notificacao"), ("regional", "regional_residencia", "uf_residencia"),
+            ("unidade", "codigo_unidade", "municipio_notificacao", "tipo_unidade"),
+        )
+        none = F.lit(None).cast("string")
+        texts = [(F.lit(kind), *map(F.col, columns), *[none] * (3 - len(columns))) for kind, *columns in groups]
+        every = F.array(*[F.struct(*[c.alias(n) for c, n in zip(group, ("kind", "a", "b", "c"), strict=True)]) for group in texts])
+        return self.bronze.select(F.explode(every).alias("g")).select("g.*").distinct()
+
     @cached_property
     def ufs(self) -> DataFrame:
         codes = self.gazetteer.select(F.col("uf_code").cast("smallint").alias("uf_id"), F.col("uf_nome").alias("nome"))
@@ -136,7 +161,7 @@ class Silver:
 
     @cached_property
     def paises(self) -> DataFrame:
-        raw = self._pairs(("pais_residencia",), ("pais_provavel_infeccao",), "code")
+        raw = self.codes.filter("kind = 'pais'").select(F.col("a").alias("code"))
         return (
             raw.filter(not_sentinel(F.col("code"), "0"))
             .select(
@@ -149,7 +174,7 @@ class Silver:
 
     @cached_property
     def regionais_saude(self) -> DataFrame:
-        raw = self._pairs(("codigo_regional", "uf_notificacao"), ("regional_residencia", "uf_residencia"), "region", "uf")
+        raw = self.codes.filter("kind = 'regional'").select(F.col("a").alias("region"), F.col("b").alias("uf"))
         pairs = (
             raw.filter(not_sentinel(F.col("region")) & not_sentinel(F.col("uf")))
             .select(
@@ -164,23 +189,14 @@ class Silver:
         number = F.row_number().over(Window.orderBy("uf_id", "regional_id"))
         return pairs.select(number.cast("long").alias("regional_saude_id"), "regional_id", "uf_id")
 
-    def _pairs(self, first: tuple[str, ...], second: tuple[str, ...], *names: str) -> DataFrame:
-        """Distinct union of two column groups, read in one scan of the raw frame."""
-        groups = F.array(
-            *[F.struct(*[F.col(c).alias(n) for c, n in zip(group, names)]) for group in (first, second)]
-        )
-        return self.bronze.select(F.explode(groups).alias("g")).select("g.*").distinct()
-
     @cached_property
     def unidades_notificadoras(self) -> DataFrame:
-        placed = self.bronze.filter(
-            not_sentinel(F.col("codigo_unidade"), "0") & not_sentinel(F.col("municipio_notificacao"))
-        ).select(
-            to_int(F.col("codigo_unidade"), "int").alias("unidade_id"),
-            to_int(F.col("tipo_unidade"), "smallint").alias("tipo"),
-            prefix6(F.trim("municipio_notificacao")).alias("prefix"),
+        placed = self.codes.filter("kind = 'unidade'").filter(not_sentinel(F.col("a"), "0") & not_sentinel(F.col("b"))).select(
+            to_int(F.col("a"), "int").alias("unidade_id"),
+            to_int(F.col("c"), "smallint").alias("tipo"),
+            prefix6(F.trim("b")).alias("prefix"),
         )
-        found = resolve_unique(placed, "municipio_id", F.col("prefix"), self.municipality_lookup).filter(
+        found = resolve_unique(placed, "municipio_id", F.col("prefix"), self.municipality_lookup, self.rows["municipios"]).filter(
             F.col("unidade_id").isNotNull() & F.col("municipio_id").isNotNull()
         )
         # Lowest municipality wins, then lowest type: a map-side minimum, no window.
@@ -208,18 +224,19 @@ class Silver:
     def _join(self, df: DataFrame, rule, out: str, key: list[Column]) -> DataFrame:
         match rule:
             case Municipality():
-                return resolve_unique(df, out, key[0], self.municipality_lookup)
+                return resolve_unique(df, out, key[0], self.municipality_lookup, self.rows["municipios"])
             case Known(_, dim, dim_key):
                 ids = getattr(self, dim).select(dim_key).distinct()
-                return resolve(df, out, {dim_key: key[0]}, ids, dim_key)
+                return resolve(df, out, {dim_key: key[0]}, ids, dim_key, self.rows[dim])
             case Region():
                 return resolve(
-                    df, out, {"regional_id": key[0], "uf_id": key[1]}, self.regionais_saude, "regional_saude_id"
+                    df, out, {"regional_id": key[0], "uf_id": key[1]}, self.regionais_saude, "regional_saude_id",
+                    self.rows["regionais_saude"],
                 )
             case Unit():
                 units = self.unidades_notificadoras
                 if self.rows.get("unidades_notificadoras", BROADCAST_ROWS + 1) <= BROADCAST_ROWS:
-                    return resolve(df, out, {"unidade_id": key[0]}, units, "unidade_id")
+                    return resolve(df, out, {"unidade_id": key[0]}, units, "unidade_id", self.rows["unidades_notificadoras"])
                 return resolve_large(df, out, key[0], units, "unidade_id")
         raise TypeError(rule)
 

@@ -7,6 +7,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from epiframe.contracts import CONFIRMED
 from epiframe.operators.ingest import as_cases, with_reason
+from epiframe.plans.changes import insert_batch
+from epiframe.sources.store import Store
 
 
 def stream_ingest(
@@ -35,6 +37,24 @@ def stream_ingest(
     )
 
 
+def stream_insert(arriving: DataFrame, store: Store, row_key: str, name: str, checkpoint: str) -> StreamingQuery:
+    """Validate each micro-batch into the published case table, see ``insert_batch``.
+
+    ``name`` and the batch's number are its entry in the ledger, so a micro-batch that Spark repeats after a
+    failure neither doubles nor renumbers its records. Another stream needs another name.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        insert_batch(store, batch, f"{name}-{number}", row_key)
+
+    return (
+        arriving.writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def weekly_rows(stream: DataFrame, time: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Keys and Monday of each record, by the wall clock of the session's time zone."""
     return stream.select(*by, F.date_trunc("week", F.col(time).cast("timestamp")).cast("date").alias("semana"))

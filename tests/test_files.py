@@ -7,6 +7,7 @@ from epiframe.contracts import CASE_COLUMNS, GOLD, LOAD_ORDER
 from epiframe.plans import dashboard
 from epiframe.plans.run import run
 from epiframe.sources import bronze, tables
+from epiframe.sources.store import Store
 from workload import model
 
 SF = "/root/testdata/sf0.001"
@@ -96,7 +97,7 @@ def test_strict_load_refuses_and_publishes_nothing(spark, tmp_path):
     rules = {(t, c, r) for t, c, r, _ in error.value.violations}
     assert ("paises", "pais_id", "unique") in rules
     assert ("notificacoes_casos", "data_notificacao", "not null") in rules
-    assert not (tmp_path / "current").exists()
+    assert Store(spark, str(tmp_path)).versions() == []
 
 
 def test_clean_tables_load_strictly_and_refresh(spark, tmp_path):
@@ -112,6 +113,14 @@ def test_clean_tables_load_strictly_and_refresh(spark, tmp_path):
         t[child] = t[child].dropna(subset=[day]).join(dated.select("notificacao_id"), "notificacao_id", "left_semi").select(t[child].columns)
     first = tables.load_silver(spark, t, str(tmp_path))
     assert tables.load_silver(spark, t, str(tmp_path)) == first
+    store = Store(spark, str(tmp_path))
+    assert store.versions() == [1, 2]
+    judged = tables.held_back(spark, str(tmp_path)).groupBy("tabela", "motivo").count().collect()
+    assert {r.motivo for r in judged} == {None, "closure before notification", "outcome is not a death"}
+    assert {r.tabela: r["count"] for r in judged if r.motivo is None} == {n: first[n] for n in tables.HELD_BACK}
+    with pytest.raises(tables.ContractError, match="outcome is not a death"):
+        tables.load_silver(spark, t, str(tmp_path), invalid="refuse")
+    assert store.versions() == [1, 2]
     loaded = tables.published(spark, str(tmp_path))
     assert {n: df.count() for n, df in loaded.items()} == first
     assert tables.violations(loaded).filter("n_violacoes > 0").count() == 0
@@ -122,20 +131,19 @@ def test_blank_text_becomes_null(spark):
 
 
 def test_whole_run_from_files_to_gold(spark, raw, tmp_path):
-    counts = run(
-        spark, str(raw / "cases.csv"), str(raw / "towns.csv"), str(tmp_path / "bronze"), str(tmp_path / "silver"),
-        str(tmp_path / "gold"), study=model.STUDY, strict=False, restarts=2,
-    )
+    root = str(tmp_path / "store")
+    counts = run(spark, str(raw / "cases.csv"), str(raw / "towns.csv"), str(tmp_path / "bronze"), root, study=model.STUDY, strict=False, restarts=2)
     assert set(counts) == {"bronze", "base", *LOAD_ORDER, *GOLD}
-    silver = tables.published(spark, str(tmp_path / "silver"))
+    assert Store(spark, root).versions() == [1]  # silver, base and gold came together
+    silver = tables.published(spark, root)
     direct = model.silver(spark, SF).tables()
     for name in LOAD_ORDER:
         assert counts[name] == silver[name].count()
         assert direct[name].exceptAll(silver[name]).count() == 0, name
-    gold = tables.read_gold(spark, str(tmp_path / "gold"))
+    gold = tables.published(spark, root, GOLD)
     assert gold["previsao_casos_semanal"].columns == ["ds", "yhat", "yhat_lower", "yhat_upper"]
     assert gold["previsao_casos_semanal"].count() == gold["sazonalidade_semanal"].count() + 12
-    base = spark.read.parquet(str(tmp_path / "gold" / "base"))
+    base = tables.published(spark, root, ["base"])["base"]
     joined = dashboard.build_base(silver["notificacoes_casos"], silver["pacientes"], silver["ufs"])
     assert joined.columns and joined.exceptAll(base.select(joined.columns)).count() == 0
     core = dashboard.insights_core(

@@ -92,7 +92,7 @@ def test_large_lookup_spreads_hot_and_null_keys(spark):
     try:
         df = spark.range(9000).withColumn("k", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")))
         dim = spark.range(100).withColumnRenamed("id", "key")
-        got = resolve_large(df, "found", F.col("k"), dim, "key", F.col("id"))
+        got = resolve_large(df, "found", F.col("k"), dim, "key")
         assert got.count() == 9000
         assert got.filter("found = 7").count() == 3001
         assert got.filter("found IS NOT NULL AND found <> 7").count() == 32

@@ -12,9 +12,11 @@ from epiframe.functions.age import age_band, age_years, age_years_double, band_r
 from epiframe.functions.clean import nullify, to_int
 from epiframe.operators import audit, cluster, dedup, ingest, quality, solvers, timeseries, trend
 from epiframe.operators.ids import dense_id
-from epiframe.plans import dashboard, views
+from epiframe.plans import changes, dashboard, views
 from epiframe.plans.silver import Silver
 from epiframe.session import cut_lineage, shared_dir
+from epiframe.sources.store import Store
+from epiframe.sources.tables import held_back, load_silver
 from epiframe.streaming import ingest as streaming
 from workload import model
 from workload.model import STUDY, table
@@ -156,15 +158,8 @@ def _keys() -> list[tuple[str, tuple[str, ...]]]:
     ),
 )
 def _(spark, sf):
-    tables = model.silver(spark, sf).tables()
-    parts = [
-        quality.check_unique(tables[n], list(k)).select(
-            F.lit(n).alias("tabela"), F.lit(",".join(k)).alias("colunas"),
-            F.concat_ws(",", *[F.col(c).cast("string") for c in k]).alias("chave"), "n_linhas",
-        )
-        for n, k in _keys()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    breaches = quality.contract_breaches(model.silver(spark, sf).settle().tables(), LOAD_ORDER, ("unique",))
+    return breaches.select("tabela", F.col("coluna").alias("colunas"), "chave", "n_linhas")
 
 
 # Raw codes against the tables they should point to: this is where unknown codes show.
@@ -188,15 +183,12 @@ _RAW_KEYS = {
     ),
 )
 def _(spark, sf):
-    s = model.silver(spark, sf)
+    s = model.silver(spark, sf).settle()
     codes = s.bronze.select(*[to_int(nullify(F.col(c)), t).cast("long").alias(c) for c, (t, _) in _RAW_KEYS.items()])
-    parts = [
-        quality.check_fk(codes.select(c), c, s.table(p), SILVER[p].key, p in BOUNDED_TABLES).select(
-            F.lit(c).alias("coluna"), "chave", "n_linhas"
-        )
-        for c, (_, p) in _RAW_KEYS.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    cells = F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(c).alias("chave")) for c in _RAW_KEYS])
+    asked = codes.select(F.explode(cells).alias("c")).filter("c.chave IS NOT NULL").groupBy("c.coluna", "c.chave").agg(F.count("*").alias("n_linhas"))
+    known = reduce(DataFrame.unionByName, [s.table(p).select(F.lit(c).alias("coluna"), F.col(SILVER[p].key).cast("long").alias("chave")) for c, (_, p) in _RAW_KEYS.items()])
+    return asked.join(known, ["coluna", "chave"], "left_anti")
 
 
 _REFS = [(n, ref) for n in LOAD_ORDER for ref in SILVER[n].refs]
@@ -214,14 +206,14 @@ _REFS = [(n, ref) for n in LOAD_ORDER for ref in SILVER[n].refs]
     "AND chave NOT IN (SELECT municipio_id // 10 FROM municipios) GROUP BY chave",
 )
 def _(spark, sf):
-    s = model.silver(spark, sf)
-    tables = s.tables()
+    s = model.silver(spark, sf).settle()
+    found = quality.contract_breaches(s.tables(), LOAD_ORDER, ("foreign key",)).select("tabela", "coluna", F.col("chave").cast("long").alias("chave"), "n_linhas")
     # The raw town code has six digits: the town's id without its check digit.
     codes = s.bronze.select(to_int(nullify(F.col("municipio_residencia")), "int").cast("long").alias("code"))
-    prefixes = tables["municipios"].select(F.expr("municipio_id div 10").alias("prefix"))
+    prefixes = s.municipios.select(F.expr("municipio_id div 10").alias("prefix"))
     towns = quality.check_fk(codes, "code", prefixes, "prefix", "municipios" in BOUNDED_TABLES).select(
         F.lit("bronze").alias("tabela"), F.lit("municipio_residencia").alias("coluna"), "chave", "n_linhas")
-    return quality.fk_breaches(tables, LOAD_ORDER).unionByName(towns)
+    return found.unionByName(towns)
 
 
 @query(
@@ -233,9 +225,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    tables = model.silver(spark, sf).tables()
-    parts = [quality.check_not_null(tables[n], n, SILVER[n].required) for n in LOAD_ORDER]
-    return reduce(DataFrame.unionByName, parts)
+    return quality.rule_counts(model.silver(spark, sf).tables(), LOAD_ORDER, ("not null",))
 
 
 _RAW_WIDTHS = {"data_notificacao": 9, "data_primeiros_sintomas": 10, "idade_codificada": 4, "municipio_residencia": 6}
@@ -251,10 +241,7 @@ _RAW_WIDTHS = {"data_notificacao": 9, "data_primeiros_sintomas": 10, "idade_codi
 )
 def _(spark, sf):
     s = model.silver(spark, sf)
-    tables = s.tables()
-    parts = [quality.check_length(tables[n], n, SILVER[n].widths) for n in LOAD_ORDER if SILVER[n].widths]
-    parts.append(quality.check_length(s.bronze, "bronze", _RAW_WIDTHS))
-    return reduce(DataFrame.unionByName, parts)
+    return quality.rule_counts(s.tables(), LOAD_ORDER, ("length",)).unionByName(quality.check_length(s.bronze, "bronze", _RAW_WIDTHS))
 
 
 @query(
@@ -383,6 +370,114 @@ def _(spark, sf):
     return log.drop("usuario_banco", "data_hora")
 
 
+# --- the published tables ------------------------------------------------------------------------
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _store(spark: SparkSession, sf: str, *names: str) -> Store:
+    """A new store with tables of the derived model, parents first, in buckets that even the smallest data fill."""
+    s, store = model.silver(spark, sf).settle(), Store(spark, _scratch(spark, "store"))
+    tx = store.begin()
+    for name in names:
+        tx.put(name, s.table(name), SILVER[name].key, 1 << 9)
+    tx.commit()
+    return store
+
+
+@query(
+    "load_violations",
+    f"""SELECT 'casos_encerrados' AS tabela, c.caso_encerrado_id AS id, c.notificacao_id,
+              CASE WHEN n.data_notificacao IS NULL THEN 'missing case'
+                   WHEN c.data_encerramento < n.data_notificacao THEN 'closure before notification' END AS motivo
+       FROM casos_encerrados c LEFT JOIN notificacoes_casos n ON n.notificacao_id = c.notificacao_id
+       UNION ALL
+       SELECT 'obitos', o.obito_id, o.notificacao_id, CASE WHEN n.evolucao_caso IS NULL THEN 'missing case'
+              WHEN n.evolucao_caso NOT IN ({_DEATHS}) THEN 'outcome is not a death' END
+       FROM obitos o LEFT JOIN notificacoes_casos n ON n.notificacao_id = o.notificacao_id""",
+)
+def _(spark, sf):
+    root = _scratch(spark, "load")
+    load_silver(spark, model.silver(spark, sf), root, strict=False, invalid="park")
+    return held_back(spark, root)
+
+
+_MARKS = """SELECT n.*, row_number() OVER (
+               PARTITION BY p.sexo, p.municipio_id, n.data_primeiros_sintomas, n.uf_provavel_infeccao
+               ORDER BY n.data_notificacao NULLS LAST, n.notificacao_id) AS rn
+            FROM notificacoes_casos n JOIN pacientes p ON p.paciente_id = n.paciente_id"""
+
+
+@query("published_after_marking", f"SELECT * EXCLUDE (rn) REPLACE (nduplic OR rn > 1 AS nduplic) FROM ({_MARKS})")
+def _(spark, sf):
+    store = _store(spark, sf, "pacientes", "notificacoes_casos")
+    changes.mark_published_duplicates(store)
+    return store.snapshot().table("notificacoes_casos")
+
+
+@query(
+    "published_after_batches",
+    f"""SELECT * FROM notificacoes_casos UNION ALL
+        SELECT (SELECT max(notificacao_id) FROM notificacoes_casos) + row_number() OVER (ORDER BY chegada % 2 = 0, chegada) AS notificacao_id,
+               {_CASE_HEAD}, {_CASE_DEFAULTS} FROM checked WHERE motivo IS NULL""",
+)
+def _(spark, sf):
+    store = _store(spark, sf, "unidades_notificadoras", "pacientes", "notificacoes_casos")
+    arriving = model.arrivals(spark, sf)
+    for name, part in (("odd", "chegada % 2 <> 0"), ("even", "chegada % 2 = 0"), ("odd", "chegada % 2 <> 0")):
+        changes.insert_batch(store, arriving.filter(part), name, "chegada")
+    return store.snapshot().table("notificacoes_casos")
+
+
+def _whole_json(table: str, side: str, **replaced: str) -> str:
+    return "CAST(to_json({" + ", ".join(f"'{f.name}': {replaced.get(f.name, f'{side}.{f.name}')}" for f in SILVER[table].fields) + "}) AS VARCHAR)"
+
+
+@query(
+    "audit_log",
+    f"""SELECT row_number() OVER (ORDER BY kind, notificacao_id) AS log_id, 'silver' AS nome_esquema, 'notificacoes_casos' AS nome_tabela,
+               CASE kind WHEN 0 THEN 'UPDATE' ELSE 'INSERT' END AS operacao, notificacao_id AS chave, dados_antigos, dados_novos
+        FROM (SELECT 0 AS kind, notificacao_id, {_whole_json("notificacoes_casos", "m")} AS dados_antigos,
+                     {_whole_json("notificacoes_casos", "m", nduplic="TRUE")} AS dados_novos
+              FROM ({_MARKS}) m WHERE rn > 1 AND NOT nduplic
+              UNION ALL SELECT 1, notificacao_id, NULL, {_whole_json("notificacoes_casos", "c")}
+              FROM (SELECT (SELECT max(notificacao_id) FROM notificacoes_casos) + row_number() OVER (ORDER BY chegada) AS notificacao_id,
+                           {_CASE_HEAD}, {_CASE_DEFAULTS} FROM checked WHERE motivo IS NULL) c)""",
+)
+def _(spark, sf):
+    store = _store(spark, sf, "unidades_notificadoras", "pacientes", "notificacoes_casos")
+    changes.mark_published_duplicates(store)
+    changes.insert_batch(store, model.arrivals(spark, sf), "all", "chegada")
+    return store.snapshot().table(changes.LOG).drop("usuario_banco", "data_hora")
+
+
+# Corrections of patients in order: schooling of every fourth, then sex of every eighth, then every sixteenth goes.
+_CORRECTED = {f.name: f"p.{f.name}" for f in SILVER["pacientes"].fields}
+
+
+@query(
+    "audit_patients",
+    f"""SELECT row_number() OVER (ORDER BY step, paciente_id) AS log_id, 'silver' AS nome_esquema, 'pacientes' AS nome_tabela,
+               CASE step WHEN 2 THEN 'DELETE' ELSE 'UPDATE' END AS operacao, paciente_id AS chave, dados_antigos, dados_novos
+        FROM (SELECT 0 AS step, paciente_id, {_whole_json("pacientes", "p")} AS dados_antigos,
+                     {_whole_json("pacientes", "p", escolaridade="'Ignorado'")} AS dados_novos FROM pacientes p WHERE paciente_id % 4 = 0
+              UNION ALL SELECT 1, paciente_id, {_whole_json("pacientes", "p", escolaridade="'Ignorado'")},
+                     {_whole_json("pacientes", "p", escolaridade="'Ignorado'", sexo="'Ignorado'")} FROM pacientes p WHERE paciente_id % 8 = 0
+              UNION ALL SELECT 2, paciente_id, {_whole_json("pacientes", "p", escolaridade="'Ignorado'", sexo="'Ignorado'")}, NULL
+              FROM pacientes p WHERE paciente_id % 16 = 0)""",
+)
+def _(spark, sf):
+    store = _store(spark, sf, "pacientes")
+    people = store.snapshot().table("pacientes")
+    none = people.withColumn("escolaridade", F.lit("Ignorado"))
+    steps = [none.filter("paciente_id % 4 = 0"), none.withColumn("sexo", F.lit("Ignorado")).filter("paciente_id % 8 = 0"), none.filter("paciente_id % 16 = 0")]
+    steps = [df.withColumn("removed", F.lit(i == 2)).withColumn("ordem", F.col("paciente_id") * F.lit(1) + F.lit(i * 10**12)) for i, df in enumerate(steps)]
+    changes.apply_changes(store, "pacientes", reduce(DataFrame.unionByName, steps), "ordem")
+    return store.snapshot().table(changes.LOG).drop("usuario_banco", "data_hora")
+
+
 # --- views -----------------------------------------------------------------------------------
 @query(
     "view_weekly",
@@ -977,12 +1072,6 @@ def _(spark, sf):
 
 
 # --- streaming -------------------------------------------------------------------------------------------------
-def _scratch(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     schema = table(spark, sf, name).schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
