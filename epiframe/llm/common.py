@@ -46,6 +46,16 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
         self.release()
 
+    def clear(self, *but: DataFrame) -> None:
+        """Remove all tables of this operator except some."""
+        stay = {table.scratch_path.rstrip("/").rpartition("/")[2] for table in but}
+        home = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = home.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for found in files.listStatus(home) if files.exists(home) else []:
+            if found.getPath().getName() not in stay:
+                files.delete(found.getPath(), True)
+        self.release()
+
     def release(self) -> None:
         """Shuffle files go once their plans are garbage on the driver; ask for that now."""
         self.spark.sparkContext._jvm.System.gc()
@@ -55,6 +65,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with as many underscores as it takes to be none of ``columns`` (case does not tell them apart)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """The words of a text, an empty array for a null one."""
     blanks = F.translate(F.coalesce(text, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1))

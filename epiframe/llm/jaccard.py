@@ -30,6 +30,8 @@ PASSES = 3
 ROUNDS, CENTRAL_ROUNDS = 6, 2
 #: Lists of a set, from its first token on, in which it looks for leaders.
 LEADER_LISTS = 16
+#: Numbers of 64 bits in the map of a set's shared prefix tokens.
+MAP = 16
 
 
 def shingle_sets(raw: np.ndarray, starts: np.ndarray, size: int) -> list[np.ndarray]:
@@ -116,7 +118,7 @@ def frequent_tokens(docs: DataFrame, size: int, scratch: Scratch) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, late) -> DataFrame:
-    """doc_id, node (digest of the set), n, and the set's first tokens in the global order."""
+    """doc_id, tag, node (digest of the set), n, and the set's first tokens in the global order."""
 
     def take(part: pa.RecordBatch, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         nodes, sizes, prefixes = [], [], []
@@ -132,11 +134,11 @@ def _prefixes(docs: DataFrame, size: int, percent: int, late) -> DataFrame:
         offsets = np.zeros(len(sets) + 1, np.int32)
         np.cumsum([len(p) for p in prefixes], out=offsets[1:])
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()),
+            [part.column("doc_id"), part.column("tag"), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()),
              pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes)))],
-            names=["doc_id", "node", "n", "prefix"])
+            names=["doc_id", "tag", "node", "n", "prefix"])
 
-    return _sets(docs, size, take, "doc_id long, node binary, n long, prefix array<long>")
+    return _sets(docs, size, take, "doc_id long, tag string, node binary, n long, prefix array<long>")
 
 
 def _near_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -177,7 +179,7 @@ class Join:
         reps = whole.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
         # The numbers are written with the rows, so every later read sees the same ones.
         self.reps = self.scratch.cut(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
-        self.members = self.scratch.cut(whole.select("doc_id", "node", "n"), "members")
+        self.members = self.scratch.cut(whole.select("doc_id", "tag", "node", "n"), "members")
         self.scratch.drop(whole)
         core = self.shared(self.reps.select("id", "n", F.posexplode("prefix").alias("pos", "token")))
         for _ in range(1, PASSES):
@@ -287,13 +289,22 @@ class Join:
         rare = F.array_sort(F.transform("prefix", lambda x: F.struct(x["df"], x["token"], x["pos"])))
         spare = F.greatest(extra(F.col("n"), self.percent) - 1, F.lit(0))
         rare = F.slice(rare, F.lit(1), (F.size("prefix") - spare).cast("int"))
-        entries = self.labelled(labels).select("id", "n", "label", F.inline(rare)).drop("df")
+        nodes = self.labelled(labels)
+        for w in range(MAP):  # which bits of the map the set's shared tokens take
+            nodes = nodes.withColumn(f"m{w}", F.expr(
+                f"aggregate(prefix, 0L, (m, x) -> IF((x.token >> 6) & {MAP - 1} = {w}, m | shiftleft(1L, CAST(x.token & 63 AS INT)), m))"))
+        maps = [f"m{w}" for w in range(MAP)]
+        bits = sum((F.bit_count(F.col(m)) for m in maps), F.lit(0))
+        entries = nodes.select("id", "n", "label", *maps, (F.size("prefix") - bits).alias("over"), F.inline(rare)).drop("df")
         mixed = entries.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("token")
         entries = self.scratch.cut(entries.join(mixed, "token", "left_semi"), "mixed")
-        a, b = (entries.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "label", "pos")]) for s in "ab")
+        a, b = (entries.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "label", "pos", "over", *maps)]) for s in "ab")
         n, m = F.col("n_a"), F.col("n_b")
+        # Tokens that both hold take the same bit; a bit that one of them takes k times can hide k - 1 more.
+        common = sum((F.bit_count(F.col(f"{c}_a").bitwiseAND(F.col(f"{c}_b"))) for c in maps), F.least("over_a", "over_b"))
         pairs = a.join(b, "token").filter(
-            (F.col("label_a") < F.col("label_b")) & _near_sizes(n, m, self.percent) & _position_skip(n, m, F.col("pos_a"), F.col("pos_b"), self.percent))
+            (F.col("label_a") < F.col("label_b")) & _near_sizes(n, m, self.percent)
+            & _position_skip(n, m, F.col("pos_a"), F.col("pos_b"), self.percent) & _may_link(n, m, common, self.percent))
         return self.bounded(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
 
     def classes(self) -> DataFrame:
@@ -309,17 +320,20 @@ class Join:
         return labels
 
 
-def near_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def near_classes(docs: DataFrame, size: int = 5, percent: int = 80, tag: Column | None = None) -> DataFrame:
     """Classes of documents whose sets of ``size``-word shingles are linked at ``percent`` Jaccard.
 
     A-Z are lower-cased; words are parted by white space; a text of fewer words is one shingle, and
     one without words (or null) is empty and linked with nothing. Documents link when
     100 * intersection >= percent * union; a class is a connected component, exactly. Repeated rows and
     ids: rows with equal sets are one class; null ids never name a class unless all are null. An
-    empty table gives no rows. Columns other than doc_id and text are not read.
-    Result: doc_id, n_shingles, component_id (least doc_id of the class), set_id.
+    empty table gives no rows. Columns other than doc_id and text are not read, but for those of ``tag``,
+    a text that goes along with each row.
+    Result: doc_id, tag, n_shingles, component_id (least doc_id of the class), set_id, class_id (a number of
+    the class, of its own even where ids repeat or are null; null for empty sets).
     """
-    light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    tag = F.lit(None).cast("string") if tag is None else tag
+    light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), tag.alias("tag"))
     join = Join(light, size, percent)
     labels = join.classes()
     sets = join.reps.select("node", F.col("id"), F.col("doc_id"))
@@ -328,6 +342,9 @@ def near_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
         least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
         sets = named.join(least, "label")
     else:
-        sets = sets.withColumnRenamed("doc_id", "component_id")
-    held = join.scratch.cut(join.members.join(sets.select("node", "component_id"), "node", "left"), "result")
-    return held.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.col("node").alias("set_id"))
+        sets = sets.withColumnRenamed("doc_id", "component_id").withColumn("label", F.col("id"))
+    held = join.scratch.cut(join.members.join(sets.select("node", "component_id", "label"), "node", "left"), "result")
+    join.scratch.clear(held)
+    return held.select(
+        "doc_id", "tag", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.col("node").alias("set_id"),
+        F.col("label").alias("class_id"))
