@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epiframe.llm import jaccard, lines, packing, quality, repeats
-from epiframe.llm.common import Scratch, words
+from epiframe.llm.common import Scratch, free_name, words
 
 #: A whole pass, packing included, has no SQL form: tokens come from a tokenizer.
 ORACLE_SQL = None
@@ -40,16 +40,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near duplicates stays: the one with the least id, null ids last.
 
-    Classes join five-word shingle sets at a similarity of 0.8. Empty documents are in no class. Ids may
-    repeat or be null: rows are told apart by a hash of id and text, and of equal rows one stays.
+    Classes join five-word shingle sets at a similarity of 0.8. Empty documents are in no class and stay. Ids may
+    repeat or be null: rows are told apart by a digest (128 bits) of id and text, and of equal rows one stays.
+    An empty table stays empty; columns may have any names.
     """
-    held = docs.withColumn("row", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-    classes = jaccard.near_classes(held.select(F.col("row").alias("doc_id"), "text"), 5, 80).filter(F.col("n_shingles") > 0)
-    classes = classes.select(F.col("doc_id").alias("row"), F.col("component_id").alias("class")).distinct()
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    firsts = held.select("row", "doc_id").join(classes, "row").groupBy("class").agg(F.min(place).alias("first"))
+    row = free_name("row", docs.columns)
+    digest = F.md5(F.concat_ws("\n", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
+    classes = jaccard.near_classes(docs, 5, 80, tag=digest).filter(F.col("n_shingles") > 0)
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tag")
+    firsts = classes.groupBy("class_id").agg(F.min(place).alias("first")).select(F.col("first.tag").alias(row))
+    held = docs.withColumn(row, digest)
     full = F.size(words(F.col("text"))) > 0
-    kept = held.filter(full).join(firsts.select("first.row"), "row", "left_semi").dropDuplicates(["row"])
+    kept = held.filter(full).join(firsts, row, "left_semi").dropDuplicates([row])
     return kept.unionByName(held.filter(~full)).select(*docs.columns)
 
 
