@@ -16,6 +16,7 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from epiframe.llm.common import LOWER_BYTES, Scratch, blocks, partitions
@@ -77,6 +78,15 @@ class EliasFano:
             place += np.where(right, width, 0)
         return word * 64 + place
 
+    def _ones(self, place: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """How many ones of the high bits stand from ``place`` on, before the zero of rank ``bucket``."""
+        word, shift = place >> 6, (place & 63).astype(np.uint64)
+        zeros = ~(self.high[word] >> shift)
+        run = np.bitwise_count((zeros & (~zeros + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        over = np.flatnonzero(run >= 64 - (place & 63))  # the run goes on in the next word
+        run[over] = self._select(bucket[over], False) - place[over]
+        return run
+
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(len(at), np.int64)
@@ -93,17 +103,25 @@ class EliasFano:
 
     def successor(self, value: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """The first place in [first, last) whose value isn't less than ``value``; last if none is."""
+        return self.seek(value, first, last)[0]
+
+    def seek(self, value: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The successors' places, and whether the value there is ``value`` itself."""
         bucket = value >> self.bits
         limit = len(self.high) * 64 - int(self.counts[-1])  # zeros in all
-        start = np.where(bucket > 0, self._select(np.clip(bucket - 1, 0, limit - 1), False) + 1 - bucket, 0)
-        end = self._select(np.clip(bucket, 0, limit - 1), False) - bucket
-        low = np.clip(start, first, last)  # values of smaller high part lie before start
-        high = np.clip(np.minimum(end, self.n), first, last)
-        wanted = value & ((1 << self.bits) - 1)
+        beyond = bucket >= limit  # greater than all values
+        bucket = np.minimum(bucket, limit - 1)
+        place = np.where(bucket > 0, self._select(np.maximum(bucket - 1, 0), False) + 1, 0)
+        start = place - bucket  # values of smaller high part lie before
+        low = np.where(beyond, last, np.clip(start, first, last))
+        high = np.where(beyond, last, np.clip(np.minimum(start + self._ones(place, bucket), self.n), first, last))
+        end, wanted = high.copy(), value & ((1 << self.bits) - 1)
         while True:
             open_ = np.flatnonzero(low < high)
-            if not len(open_):
-                return low
+            if not len(open_):  # up to end the high parts are equal
+                same = low < end
+                same[same] = self._low(low[same]) == wanted[same]
+                return low, same
             middle = (low[open_] + high[open_]) >> 1
             less = self._low(middle) < wanted[open_]
             low[open_] = np.where(less, middle + 1, low[open_])
@@ -129,7 +147,7 @@ def _save(folder: str, name: str, arrays: dict) -> None:
 
 
 def _open(folder: str, name: str, key: str) -> np.ndarray:
-    return np.load(os.path.join(folder, f"{name}.{key}.npy"), mmap_mode="r")
+    return np.load(os.path.join(folder, f"{name}.{key}.npy"), mmap_mode="r").view(np.ndarray)
 
 
 def _open_ef(folder: str, name: str) -> EliasFano:
@@ -139,9 +157,7 @@ def _open_ef(folder: str, name: str) -> EliasFano:
 
 def word_hash(word: bytes) -> int:
     """63 bits of a keyed digest; ids are ranks among these."""
-    from xxhash import xxh3_64_intdigest
-
-    return xxh3_64_intdigest(word) >> 1
+    return xxhash.xxh3_64_intdigest(word) >> 1
 
 
 class WordTable(dict):
@@ -233,17 +249,18 @@ class Model:
         parts, begin = np.unique(shard[known], return_index=True)
         for i, rows in zip(parts.tolist(), np.split(known, begin[1:]), strict=False):
             level = self.followers(depth, i)
-            nodes = node[rows]
+            new = np.diff(node[rows], prepend=-1) != 0  # each context is read once
+            nodes, which = node[rows[new]], np.cumsum(new) - 1
             first, last = level["pointers"].at(nodes), level["pointers"].at(nodes + 1)
             backed = level["backoff"][nodes].astype(np.float64) / -STEP
-            out[rows] = lower[rows] + backed  # a context without followers has a backoff of 1
-            held = np.flatnonzero((last > first) & (word[rows] >= 0))
-            rows, first, last = rows[held], first[held], last[held]
-            base = np.where(first > 0, level["ids"].at(np.maximum(first - 1, 0)) + 1, 0)
-            wanted = base + word[rows]
-            at = level["ids"].successor(wanted, first, last)
-            found = np.flatnonzero(at < last)
-            found = found[level["ids"].at(at[found]) == wanted[found]]
+            out[rows] = lower[rows] + backed[which]  # a context without followers has a backoff of 1
+            base = np.zeros(len(nodes), np.int64)
+            full = np.flatnonzero((last > first) & (first > 0))
+            base[full] = level["ids"].at(first[full] - 1) + 1
+            held = np.flatnonzero((last > first)[which] & (word[rows] >= 0))
+            rows, which = rows[held], which[held]
+            at, same = level["ids"].seek(base[which] + word[rows], first[which], last[which])
+            found = np.flatnonzero(same)
             own = level["probability"][at[found]].astype(np.float64) / -STEP
             # discounted share of the n-gram, plus the share that falls to the lower order
             out[rows[found]] = np.log10(10.0**own + 10.0 ** out[rows[found]])
@@ -509,10 +526,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, ids, counts = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
         for part, rows, table in _tokens(batches):
             sizes = np.array([len(r) for r in rows])
             flat = np.concatenate(rows)
-            ids, counts = model.look_up(_hashes(table)) if model.words else (np.full(len(table), -1), np.zeros(len(table), np.int64))
+            if table is not known:
+                known, ids, counts = table, ids[:0], counts[:0]
+            new = np.array(table.hashes[len(ids):], np.int64)  # words that no block before had
+            more = model.look_up(new) if model.words else (np.full(len(new), -1), np.zeros(len(new), np.int64))
+            ids, counts = np.concatenate([ids, more[0]]), np.concatenate([counts, more[1]])
             base = model.unigram(counts)
             starts = np.cumsum(sizes) - sizes
             previous = np.empty_like(flat)
