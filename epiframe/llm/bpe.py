@@ -9,6 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
@@ -48,14 +49,15 @@ def split_blocks(docs: DataFrame, pattern: str, buckets: int, positions: bool) -
 
     With ``positions``, a row (bucket -1) carries a block's documents: ids, words in each, and the
     word number at every position; else a row for each hash bucket holds the block's distinct words
-    in it, with their numbers. Both are made from the same scan, which names the blocks alike.
+    in it, with their numbers. Both are made from the same scan, which names the blocks alike; ``check`` is a
+    hash of all the block's words in order.
     """
     import regex
 
     schema = StructType([
         StructField("block", LongType()), StructField("bucket", IntegerType()),
         StructField("numbers", BinaryType()), StructField("lengths", BinaryType()), StructField("data", BinaryType()),
-        StructField("names", BinaryType())])
+        StructField("names", BinaryType()), StructField("check", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from zlib import crc32
@@ -75,11 +77,12 @@ def split_blocks(docs: DataFrame, pattern: str, buckets: int, positions: bool) -
                 at.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in found), np.uint32, len(found)))
             name = part * (1 << 32) + number
             number += 1
+            check = xxhash.xxh3_64_intdigest("\n".join(numbers).encode()) >> 1
             rows = []
             if positions:
                 absent = np.array([n is None for n in names], np.uint8)
                 ids = np.array([len(numbers), *(0 if n is None else n for n in names)], "<i8")
-                rows = [(name, -1, _pack(np.concatenate(at)), _pack(np.array(counts, "<u4")), _pack(absent), _pack(ids))]
+                rows = [(name, -1, _pack(np.concatenate(at)), _pack(np.array(counts, "<u4")), _pack(absent), _pack(ids), check)]
             held: list[list[bytes]] = [[] for _ in range(buckets)]
             which: list[list[int]] = [[] for _ in range(buckets)]
             for i, w in enumerate([] if positions else numbers):
@@ -89,9 +92,9 @@ def split_blocks(docs: DataFrame, pattern: str, buckets: int, positions: bool) -
                 which[b].append(i)
             for b in range(buckets):
                 if held[b]:
-                    rows.append((name, b, _pack(np.array(which[b], "<u4")), *_pack_words(held[b]), None))
+                    rows.append((name, b, _pack(np.array(which[b], "<u4")), *_pack_words(held[b]), None, check))
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), *[pa.binary()] * 4), strict=True)],
+                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.int64()), strict=True)],
                 names=schema.names)
 
         names, texts, size = [], [], 0
@@ -116,7 +119,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     Pre-tokens leave their documents as blocks of distinct words with positions. The words of all
     blocks meet by hash bucket, where each distinct one is encoded once; the ids go back to the
     blocks, which put them together by position. The texts are split twice, once for each, which keeps
-    positions off the disk but for one shuffle; a block that didn't get all its words back stops the
+    positions off the disk but for one shuffle; a block that didn't get all its words back, in their order, stops the
     job. ``docs`` is a stored table, whose scan is split alike both times. No special tokens. Null text: as empty; repeated
     rows each give a row; an empty table gives none; other columns are not read.
     Result: doc_id, ids (little-endian unsigned 32-bit integers).
@@ -138,11 +141,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                     ids.append(known[w])
                 lengths = np.array([len(i) for i in ids], "<u4")
                 flat = np.array([i for one in ids for i in one], "<u4")
-                out.append((row.block, row.numbers, _pack(lengths), _pack(flat)))
-            yield pd.DataFrame(out, columns=["block", "numbers", "lengths", "ids"])
+                out.append((row.block, row.numbers, _pack(lengths), _pack(flat), row.check))
+            yield pd.DataFrame(out, columns=["block", "numbers", "lengths", "ids", "check"])
 
-    words = split_blocks(docs, pattern, buckets, False).select("block", "bucket", "numbers", "lengths", "data")
-    encoded = words.repartition(buckets, "bucket").mapInPandas(encode_words, "block long, numbers binary, lengths binary, ids binary")
+    words = split_blocks(docs, pattern, buckets, False).select("block", "bucket", "numbers", "lengths", "data", "check")
+    encoded = words.repartition(buckets, "bucket").mapInPandas(encode_words, "block long, numbers binary, lengths binary, ids binary, check long")
 
     def assemble(key, held: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         numbers = [_unpack(x, "<u4") for x in answers["numbers"]]
@@ -160,8 +163,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         for row in held.itertuples():  # one for each block
             at, counts = _unpack(row.numbers, "<u4").astype(np.int64), _unpack(row.lengths, "<u4")
             (distinct, *names), absent, place = _unpack(row.names, "<i8").tolist(), _unpack(row.data, np.uint8), 0
-            if distinct != size:
-                raise RuntimeError(f"block {row.block} has {distinct} words, {size} came back: its scan was split anew")
+            if distinct != size or (answers["check"] != row.check).any():
+                raise RuntimeError(f"block {row.block} has {distinct} words, {size} came back, or in another order: its scan was split anew")
             for name, none, n in zip(names, absent.tolist(), counts.tolist(), strict=True):
                 mine = at[place : place + n]
                 place += n
@@ -170,7 +173,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 out.append((None if none else name, flat[shift + np.arange(len(shift))].astype("<u4").tobytes()))
         return pd.DataFrame(out, columns=["doc_id", "ids"]).astype({"doc_id": "Int64"})
 
-    held = split_blocks(docs, pattern, buckets, True).select("block", "numbers", "lengths", "data", "names")
+    held = split_blocks(docs, pattern, buckets, True).select("block", "numbers", "lengths", "data", "names", "check")
     return held.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(assemble, "doc_id long, ids binary")
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from epiframe.llm.common import SPACES, Scratch, let, words
 
 SYMBOLS = "#*$%&|<>"
+#: Refused hosts are sent to all tasks if their names and entries take no more bytes than this.
+BROADCAST_BYTES = 16 << 20
 
 
 def _repeat_words(parts: Column) -> Column:
@@ -76,17 +78,22 @@ def judge(docs: DataFrame, host: str = "source", max_rate: float = 0.5, carry: t
     in repeated three-word windows. A host is refused when its shrunk failure rate exceeds
     ``max_rate``; a document is kept if it passed and its host is not refused. Documents without a
     host are judged by the base rules alone; a null text is empty; repeated rows count each; an empty
-    table gives no rows. ``carry`` names further columns of the input to hand through.
-    Result: doc_id, the five measures, base_failed, kept, and the carried columns.
+    table gives no rows. ``carry`` names columns of the input to hand through, under any names, as
+    fields of the struct ``carried``.
+    Result: doc_id, the five measures, base_failed, kept, and carried if columns are.
     """
     scratch = Scratch(docs.sparkSession)
-    base = docs.select("doc_id", F.col(host).alias("host"), *[F.col(c).alias(f"carried_{c}") for c in carry],
+    carried = [F.struct(*[F.col(c) for c in carry]).alias("carried")] if carry else []
+    base = docs.select("doc_id", F.col(host).alias("host"), *carried,
                        *[column.alias(name) for name, column in measures(F.col("text")).items()])
     base = base.withColumn(
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     base = scratch.cut(base, "measures")
-    refused = host_rates(base).filter(F.col("shrunk_rate") > max_rate).select("host", F.lit(True).alias("refused"))
+    refused = scratch.cut(host_rates(base).filter(F.col("shrunk_rate") > max_rate).select("host", F.lit(True).alias("refused")), "refused")
+    taken = refused.agg(F.sum(F.octet_length(F.col("host").cast("string")) + 64)).first()[0] or 0
+    if taken <= BROADCAST_BYTES:  # few hosts; the documents then stay where they are
+        refused = F.broadcast(refused)
     return base.join(refused, "host", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.col("refused").isNull()).alias("kept"),
-        *[F.col(f"carried_{c}").alias(c) for c in carry])
+        *(["carried"] if carry else []))

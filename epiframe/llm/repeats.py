@@ -23,6 +23,8 @@ KEY = ["doc_id", "text_hash"]
 #: Widths of the ranges of window starts that are told apart in the rounds after the first.
 WIDTHS = (16, 4, 1)
 PLACE = (1 << 28) - 1
+#: Bytes of a block in which anchors are sought at once; places in it must fit into PLACE.
+PIECE = 1 << 26
 
 
 def find_anchors(raw: np.ndarray, starts: np.ndarray, threshold: int, gram: int):
@@ -51,11 +53,29 @@ def find_anchors(raw: np.ndarray, starts: np.ndarray, threshold: int, gram: int)
     return anchor, low, high, grams[anchor], whole, np.searchsorted(starts, low, "right") - 1
 
 
+def find_in_pieces(raw: np.ndarray, starts: np.ndarray, threshold: int, gram: int, piece: int = PIECE):
+    """What ``find_anchors`` gives, for blocks of any length: pieces overlap by all but one byte of a window.
+
+    An anchor whose windows start in two pieces comes as two rows.
+    """
+    if len(raw) <= piece + threshold:
+        return find_anchors(raw, starts, threshold, gram)
+    found = []
+    for at in range(0, len(raw) - threshold + 1, piece):
+        end = min(len(raw), at + piece + threshold - 1)
+        first, last = np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, end, "left")
+        part = find_anchors(raw[at:end], np.clip(starts[first : last + 1], at, end) - at, threshold, gram)
+        if part is not None:
+            anchor, low, high, grams, whole, row = part
+            found.append((anchor + at, low + at, high + at, grams, whole, row + first))
+    return tuple(map(np.concatenate, zip(*found, strict=True))) if found else None
+
+
 def _anchors(docs: DataFrame, threshold: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, _, raw, starts in blocks(batch, limit=1 << 20):
-                found = find_anchors(raw, starts, threshold, gram)
+                found = find_in_pieces(raw, starts, threshold, gram)
                 if found is None:
                     continue
                 anchor, low, high, grams, whole, row = found
@@ -164,28 +184,30 @@ def remove_repeats(
     ``keep_first`` the first copy of each string, by doc_id, text hash and place, doesn't count as
     such and stays; with ``whole_characters`` a range leaves a character that it cuts. Null text:
     as empty; ``gram`` is cut to the threshold; rows that repeat doc_id and text stand for texts of their own, so each is a repeat of
-    the other; an empty table gives no rows; input columns named spans or kept give way.
+    the other; an empty table gives no rows; input columns named spans or kept give way, others may
+    have any names.
     Result: the columns of ``docs``, spans (array of start and end, maximal), kept (binary).
     """
     if threshold < 1 or gram < 1:
         raise ValueError(f"threshold and gram must be 1 byte at least, not {threshold} and {gram}")
     gram = min(gram, threshold)  # a longer gram than the strings would miss some
     scratch = Scratch(docs.sparkSession)
-    columns = [c for c in docs.columns if c not in ("spans", "kept")]
-    rows = docs.select(*columns).withColumn("text_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    light = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text_hash", "text")
+    columns = [c for c in docs.columns if c.lower() not in ("spans", "kept")]
+    key = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash")]
+    light, rows = docs.select(*key, "text"), docs.select(*key, F.struct(*columns).alias("held"))
     windows = repeated_windows(light, threshold, gram, keep_first, scratch)
     marks = windows.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("marks"))  # bounded by the text
     marks = scratch.cut(marks, "marks").select(F.col("doc_id").alias("m_doc"), F.col("text_hash").alias("m_hash"), "marks")
     joined = rows.join(marks, rows.doc_id.eqNullSafe(F.col("m_doc")) & (rows.text_hash == F.col("m_hash")), "left").select(
-        *columns, F.transform("marks", lambda x: x["low"]).alias("low"), F.transform("marks", lambda x: x["high"]).alias("high"))
-    fields = [joined.schema[c] for c in columns]
+        "held", F.transform("marks", lambda x: x["low"]).alias("low"), F.transform("marks", lambda x: x["high"]).alias("high"))
+    fields = joined.schema["held"].dataType.fields
     span = StructType([StructField("start", LongType()), StructField("end", LongType())])
     schema = StructType([*fields, StructField("spans", ArrayType(span)), StructField("kept", BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, raw, starts in blocks(batch):
+            held = pa.RecordBatch.from_arrays(batch.column("held").flatten(), names=columns)
+            for first, end, raw, starts in blocks(held):
                 part, spans, kept = batch.slice(first, end - first), [], []
                 for at, (low, high) in enumerate(zip(part.column("low"), part.column("high"), strict=True)):
                     text = raw[starts[at] : starts[at + 1]]
@@ -196,7 +218,7 @@ def remove_repeats(
                     edges = [0, *gone.ravel().tolist(), len(text)]
                     kept.append(b"".join(text[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2], strict=True)))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in columns), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
+                    [*held.slice(first, end - first).columns, pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
                     names=[*columns, "spans", "kept"])
 
     return joined.mapInArrow(run, schema)

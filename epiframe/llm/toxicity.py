@@ -275,7 +275,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, each: int = 1000)
 
     The sample is bounded by that parameter and drawn by a hash of the id; only rows for which
     ``usable`` holds lend their labels. Null labels and ids don't count; a repeated id is toxic if any
-    of its rows is.
+    of its rows is, and of its texts the least counts.
     """
     marked = labels.filter(usable & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = None
@@ -283,7 +283,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, each: int = 1000)
         part = marked.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(each)
         chosen = part if chosen is None else chosen.unionByName(part)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = rows.dropDuplicates(["doc_id"]).collect()  # 2 * each at most
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).collect()  # 2 * each at most
     rows = sorted(rows, key=lambda r: r["doc_id"])
     return fit([bytes(r["text"]) for r in rows], np.array([r["toxic"] for r in rows], np.int64))
 
