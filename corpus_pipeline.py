@@ -18,23 +18,37 @@ from epiframe.llm.common import Scratch, free_name, words
 ORACLE_SQL = None
 
 
-def _texts(docs: DataFrame, text) -> DataFrame:
-    """``docs`` with a new text and the matching number of characters, columns as before."""
-    out = docs.withColumn("text", text)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+def _aside(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and all other columns as one struct, so that no name among them meets an operator's own."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", (F.struct(*others) if others else F.lit(None).cast("string")).alias("others"))
+
+
+def _back(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, with a new text and the matching number of characters, from doc_id, text and others."""
+    new = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[(new[c] if c in new else F.col("others").getField(c)).alias(c) for c in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules, or whose source is refused, go."""
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    return quality.judge(docs, "source", carry=others).filter("kept").select(*docs.columns)
+    """Documents that fail the base rules, or whose source is refused, go.
+
+    A null text is empty and goes; with a null source the base rules decide alone. Repeated rows are judged
+    each; an empty table stays empty; columns may have any names.
+    """
+    return quality.judge(docs, "source", carry=tuple(docs.columns)).filter("kept").select("carried.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of two or more lines, or of one line of 50 words, go; so does a document of which no word is left."""
-    out = lines.drop_repeated_lines(docs, 2, long_words=50)
-    out = out.filter((F.col("n_removed") == 0) | (F.size(words(F.col("text"))) > 0)).select(*docs.columns)
-    return _texts(out, F.col("text"))
+    """Later copies of runs of two or more lines, or of one line of 50 words or more, go; so does a document of which no word is left.
+
+    Null texts stay null. Rows equal in id and text are one document written several times, and get the same
+    result; an empty table stays empty; columns may have any names.
+    """
+    out = lines.drop_repeated_lines(_aside(docs), 2, long_words=50)
+    return _back(out.filter((F.col("n_removed") == 0) | (F.size(words(F.col("text"))) > 0)), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,14 +72,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def string_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes that stand more than once go, each copy but the first.
 
-    The first copy, by doc_id and place, stays, so that no passage is lost altogether.
+    The first copy, by doc_id and place, stays, so that no passage is lost altogether. A null text becomes an
+    empty one; of rows equal in id and text none but the first by place counts as such; an empty table stays
+    empty; columns may have any names.
     """
-    out = repeats.remove_repeats(docs, 200, keep_first=True, whole_characters=True)
-    return _texts(out, F.col("kept").cast("string")).select(*docs.columns)
+    out = repeats.remove_repeats(_aside(docs), 200, keep_first=True, whole_characters=True)
+    return _back(out.withColumn("text", F.col("kept").cast("string")), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All that is left, packed into sequences of 4096 tokens."""
+    """All that is left, packed into sequences of 4096 tokens; a null text is empty, an empty table gives no rows."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 4096, 1)
 
 
