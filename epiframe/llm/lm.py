@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from epiframe.llm.common import LOWER_BYTES, Scratch, blocks, partitions
+from epiframe.llm.common import LOWER, SPACES, Scratch, blocks, partitions
 
 #: Scale of quantised log10 probabilities: byte q stands for -q / STEP.
 STEP = 24.0
@@ -29,6 +29,8 @@ TABLE = 1 << 19
 #: Tokens of which a task sums up the triples at once.
 HELD = 2_000_000
 END = b"\n"  # no word holds a blank, so the end has a name of its own
+BLANK = np.zeros(256, bool)
+BLANK[list(SPACES.encode())] = True
 
 
 class EliasFano:
@@ -101,6 +103,15 @@ class EliasFano:
         """The values at these places."""
         return ((self._select(index, True) - index) << self.bits) | self._low(index)
 
+    def pair(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values at these places and at the next ones."""
+        place = self._select(index, True)
+        rest = (self.high[place >> 6] >> (place & 63).astype(np.uint64)) >> np.uint64(1)
+        following = place + 1 + np.bitwise_count((rest & (~rest + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        over = np.flatnonzero(rest == 0)  # the next one lies in a later word
+        following[over] = self._select(index[over] + 1, True)
+        return ((place - index) << self.bits) | self._low(index), ((following - index - 1) << self.bits) | self._low(index + 1)
+
     def successor(self, value: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """The first place in [first, last) whose value isn't less than ``value``; last if none is."""
         return self.seek(value, first, last)[0]
@@ -172,6 +183,23 @@ class WordTable(dict):
         return at
 
 
+def _words(raw: np.ndarray, starts: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The lower-cased words of a block of texts, its distinct ones numbered, and how many each text has."""
+    raw = LOWER[raw]
+    full = ~BLANK[raw]
+    begins, ends = full.copy(), full.copy()
+    begins[1:] &= ~full[:-1]
+    ends[:-1] &= ~full[1:]
+    edges = starts[1:-1]
+    edges = edges[(edges > 0) & (edges < len(raw))]  # a word ends where its text does
+    begins[edges], ends[edges - 1] = full[edges], full[edges - 1]
+    first = np.flatnonzero(begins)
+    offsets = np.concatenate([[0], np.cumsum(np.flatnonzero(ends) + 1 - first)])
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw[full]))])
+    return words.dictionary_encode(), np.diff(np.searchsorted(first, starts))
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]):
     """Batch rows with the numbers of their tokens, each text's end included, and the table."""
     table = WordTable()
@@ -179,13 +207,15 @@ def _tokens(batches: Iterator[pa.RecordBatch]):
         for first, end, raw, starts in blocks(batch):
             if len(table) > TABLE:
                 table = WordTable()
-            text = raw.tobytes().translate(LOWER_BYTES)
-            rows = []
-            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                found = text[a:b].split()
-                found.append(END)
-                rows.append(np.fromiter(map(table.__getitem__, found), np.int64, len(found)))
-            yield batch.slice(first, end - first), rows, table
+            words, counts = _words(raw, starts)
+            distinct = words.dictionary.to_pylist()
+            numbers = np.fromiter(map(table.__getitem__, distinct), np.int64, len(distinct))
+            ends = np.cumsum(counts + 1)
+            flat = np.full(ends[-1], table[END], np.int64)
+            inside = np.ones(len(flat), bool)
+            inside[ends - 1] = False
+            flat[inside] = numbers[words.indices.to_numpy()]
+            yield batch.slice(first, end - first), np.split(flat, ends[:-1]), table
 
 
 def _hashes(table: WordTable) -> np.ndarray:
@@ -251,7 +281,7 @@ class Model:
             level = self.followers(depth, i)
             new = np.diff(node[rows], prepend=-1) != 0  # each context is read once
             nodes, which = node[rows[new]], np.cumsum(new) - 1
-            first, last = level["pointers"].at(nodes), level["pointers"].at(nodes + 1)
+            first, last = level["pointers"].pair(nodes)
             backed = level["backoff"][nodes].astype(np.float64) / -STEP
             out[rows] = lower[rows] + backed[which]  # a context without followers has a backoff of 1
             base = np.zeros(len(nodes), np.int64)

@@ -132,3 +132,31 @@ def test_held_out_rows(spark, con, name, modulus, held):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(w in counts for w in own), total)
         base = sum(np.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in own)
         assert r.base_score == pytest.approx(base, abs=1e-6) and r.score < 0
+
+
+def test_words_of_a_block():
+    from epiframe.llm.common import LOWER_BYTES
+    from epiframe.llm.lm import _words
+
+    texts = [b"", b"One two", b"two\x0b", b"", b" \t", b"three", b"Three\nONE \x1c x", "é É".encode(), b""]
+    for some in (texts, texts[::-1], [b""], [b"a"], [b" "]):
+        words, counts = _words(np.frombuffer(b"".join(some), np.uint8), np.cumsum([0, *map(len, some)]))
+        want = [t.translate(LOWER_BYTES).split() for t in some]
+        assert words.to_pylist() == [w for t in want for w in t] and counts.tolist() == [len(t) for t in want]
+
+
+def test_pairs_of_pointers():
+    from epiframe.llm.lm import EliasFano
+
+    for seed, top in ((1, 40), (2, 3000), (3, 10**7)):
+        values = np.sort(np.random.default_rng(seed).integers(0, top, 2000))
+        coded = EliasFano.build(values)
+        n, bits = coded.pop("shape").tolist()
+        held = EliasFano(**coded, n=n, bits=bits)
+        first, second = held.pair(np.arange(1999))
+        assert (first == values[:-1]).all() and (second == values[1:]).all()
+        at, same = held.seek(values[::7], np.zeros(len(values[::7]), np.int64), np.full(len(values[::7]), 2000))
+        assert (at == np.searchsorted(values, values[::7])).all() and same.all()
+        odd = np.setdiff1d(np.arange(0, top + 9, max(1, top // 500)), values)
+        at, same = held.seek(odd, np.zeros(len(odd), np.int64), np.full(len(odd), 2000))
+        assert (at == np.searchsorted(values, odd)).all() and not same.any()
