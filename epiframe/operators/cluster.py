@@ -47,7 +47,7 @@ def municipality_profile(
         .filter(F.col("total_confirmados") >= min_confirmed)
         .withColumn("taxa_confirmacao", F.col("total_confirmados") / F.col("total_notificados"))
     )
-    towns = F.broadcast(municipios.select("municipio_id", "nome", "uf_id"))
+    towns = municipios.select("municipio_id", "nome", "uf_id")
     units = F.broadcast(ufs.select("uf_id", "sigla", F.col("nome").alias("uf_nome")))
     joined = counted.join(towns, "municipio_id", "left").join(units, "uf_id", "left")
     return joined.select(*counted.columns, "nome", "uf_id", "sigla", "uf_nome")
@@ -324,6 +324,39 @@ def silhouette(points: DataFrame, id_column: str, features: Sequence[str], label
     )
 
 
+def silhouette_squared(points: DataFrame, id_column: str, features: Sequence[str], labels: Sequence[str]) -> DataFrame:
+    """Mean silhouette per label column with squared Euclidean distances.
+
+    The mean squared distance of a point to a cluster follows from the cluster's size, sums and squared
+    norms, so the work is linear in the points; no pair of them is made. The label columns hold few clusters.
+    """
+    columns = [F.col(c).cast("double") for c in features]
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
+    marks = F.array(*[F.struct(F.lit(c).alias("rotulo"), F.col(c).cast("int").alias("own")) for c in labels])
+    slim = points.select(F.array(*columns).alias("x"), F.explode(marks).alias("l")).select("x", "l.*")
+    slim = slim.withColumn("norm", total(F.transform("x", lambda v: v * v)))
+    sums = slim.groupBy("rotulo", "own").agg(
+        F.count("*").alias("n"), F.sum("norm").alias("norms"),
+        F.array(*[F.sum(F.col("x")[i]) for i in range(len(columns))]).alias("sums"))
+    clusters = sums.groupBy("rotulo").agg(F.collect_list(F.struct("own", "n", "norms", "sums")).alias("clusters"))
+    # One row per label column.
+    far = F.transform("clusters", lambda c: F.struct(
+        c["own"].alias("own"), c["n"].alias("n"),
+        F.greatest(F.col("norm") * c["n"] - 2 * total(F.zip_with("x", c["sums"], lambda a, b: a * b)) + c["norms"], F.lit(0.0)).alias("d")))
+    held = slim.join(F.broadcast(clusters), "rotulo").select("rotulo", "own", far.alias("far"))
+    home = F.filter("far", lambda c: c["own"] == F.col("own"))[0]
+    others = F.filter("far", lambda c: c["own"] != F.col("own"))
+    scored = held.select(
+        "rotulo", home["n"].alias("size"), F.try_divide(home["d"], home["n"] - 1).alias("a"),
+        F.array_min(F.transform(others, lambda c: c["d"] / c["n"])).alias("b"))
+    top = F.greatest("a", "b")
+    value = F.when((F.col("size") == 1) | (top == 0), F.lit(0.0)).otherwise((F.col("b") - F.col("a")) / top)
+    return scored.groupBy("rotulo").agg(F.avg(value).alias("silhueta"))
+
+
 # --- summaries ----------------------------------------------------------------------------
 def cluster_profile(clusters: DataFrame, features: Sequence[str] = FEATURES, digits: int = 3) -> DataFrame:
     """Rounded feature means and number of municipalities per cluster."""
@@ -332,6 +365,13 @@ def cluster_profile(clusters: DataFrame, features: Sequence[str] = FEATURES, dig
     )
 
 
+def covariances(scaled: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """One row, c_<i>_<j> for i <= j: covariances of the scaled features, from one aggregate."""
+    z = [f"z_{c}" for c in features]
+    # The scaled columns have mean zero, so the mean product is the covariance.
+    return scaled.agg(*[F.avg(F.col(z[i]) * F.col(z[j])).alias(f"c_{i}_{j}") for i in range(len(z)) for j in range(i, len(z))])
+
+
 def pca_scores(profile: DataFrame, features: Sequence[str] = FEATURES, k: int = 2) -> DataFrame:
     """Profile plus ``pca_1 .. pca_k`` on the scaled features.
 
@@ -340,12 +380,11 @@ def pca_scores(profile: DataFrame, features: Sequence[str] = FEATURES, k: int =
     """
     z = [f"z_{c}" for c in features]
     scaled = zscores(profile, features)
-    pairs = [(i, j) for i in range(len(z)) for j in range(i, len(z))]
-    # The scaled columns have mean zero, so the mean product is the covariance.
-    moments = scaled.agg(*[F.avg(F.col(z[i]) * F.col(z[j])).alias(f"c_{i}_{j}") for i, j in pairs]).first()
+    moments = covariances(scaled, features).first()
     covariance = np.zeros((len(z), len(z)))
-    for i, j in pairs:
-        covariance[i, j] = covariance[j, i] = moments[f"c_{i}_{j}"] or 0.0
+    for i in range(len(z)):
+        for j in range(i, len(z)):
+            covariance[i, j] = covariance[j, i] = moments[f"c_{i}_{j}"] or 0.0
     loadings = np.linalg.eigh(covariance)[1][:, ::-1][:, :k]
     loadings = loadings * np.sign(loadings[np.abs(loadings).argmax(axis=0), range(k)])
     scores = [

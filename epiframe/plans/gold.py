@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from epiframe.contracts import STUDY_END, STUDY_START
-from epiframe.operators import cluster, solvers, timeseries, trend
+from epiframe.operators import cluster, timeseries, trend
 
 
 def gold_tables(
@@ -23,9 +23,9 @@ def gold_tables(
     by_year = trend.cases_per_uf_year(cases.select("uf_provavel_infeccao", "data_notificacao"), ufs)
     profile = cluster.municipality_profile(base, municipios, ufs)
     return {
-        "sazonalidade_semanal": solvers.stl_by_key(weekly),
+        "sazonalidade_semanal": timeseries.decompose_robust(weekly),
         "perfil_sazonal_semana_epi": timeseries.seasonal_profile(observed),
         "tendencia_casos_uf": trend.yearly_trend(by_year),
-        "previsao_casos_semanal": solvers.forecast_by_key(weekly),
+        "previsao_casos_semanal": timeseries.forecast_trend_seasonal(weekly),
         "clusters_municipios": cluster.cluster_municipalities(profile, k, restarts=restarts),
     }

@@ -42,6 +42,32 @@ def test_classical_decomposition_adds_up(spark):
     assert max(abs(r.residuo) for r in inner) < 3
 
 
+def test_robust_decomposition_ignores_an_outlier(spark):
+    values = seasonal(260)
+    values[100] += 1000
+    rows = timeseries.decompose_robust(weekly(spark, values).unionByName(weekly(spark, seasonal(30), "b")), ["key"]).orderBy("key", "semana").collect()
+    assert all(r.casos == pytest.approx(r.tendencia + r.sazonalidade + r.residuo) for r in rows) and len(rows) == 290
+    assert rows[100].residuo > 900 and abs(rows[99].residuo) < 20
+    t = np.arange(260)
+    assert np.abs(np.array([r.tendencia for r in rows[:260]]) - (200 + 0.2 * t))[26:-26].max() < 5
+
+
+def test_squared_silhouette_against_brute_force(spark):
+    df = blobs(spark).withColumn("half", F.col("municipio_id") % 2).withColumn("lone", (F.col("municipio_id") == 0).cast("int"))
+    got = {r.rotulo: r.silhueta for r in cluster.silhouette_squared(df, "municipio_id", ["x", "y"], ["truth", "half", "lone"]).collect()}
+    pdf = df.toPandas()
+    p = pdf[["x", "y"]].to_numpy()
+    d = ((p[:, None] - p[None]) ** 2).sum(-1)
+    for name in got:
+        labels, each = pdf[name].to_numpy(), []
+        for i, own in enumerate(labels):
+            same = labels == own
+            a = d[i][same].sum() / max(same.sum() - 1, 1)
+            b = min(d[i][labels == o].mean() for o in set(labels) - {own})
+            each.append(0.0 if same.sum() == 1 else (b - a) / max(a, b))
+        assert got[name] == pytest.approx(np.mean(each), abs=1e-9)
+
+
 def test_stl_recovers_trend_and_season(spark):
     rows = solvers.stl_by_key(weekly(spark, seasonal(260)), ["key"]).orderBy("semana").collect()
     t = np.arange(260)

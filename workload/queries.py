@@ -759,6 +759,41 @@ def _(spark, sf):
     return rounded(parts, "tendencia", "sazonalidade", "residuo")
 
 
+def _robust_ctes(rounds: int) -> dict[str, str]:
+    """Rounds of local lines, positions' means and bisquare weights, each from the one before."""
+    ctes = {"weeks_0": """SELECT sigla, semana, casos, row_number() OVER w AS x, (row_number() OVER w - 1) % 52 AS pos, 1.0::DOUBLE AS wt, 0.0::DOUBLE AS before
+        FROM filled_uf WINDOW w AS (PARTITION BY sigla ORDER BY semana)"""}
+    wide, inner = "ROWS BETWEEN 26 PRECEDING AND 26 FOLLOWING", "ROWS BETWEEN 25 PRECEDING AND 25 FOLLOWING"
+
+    def around(e: str, name: str) -> str:
+        return f"(sum({e}) OVER (w {wide}) + sum({e}) OVER (w {inner})) / 2 AS {name}"
+
+    moments = ", ".join(around(f"wt{e}", n) for e, n in (("", "m"), (" * x", "mx"), (" * x * x", "mxx"), (" * (casos - before)", "my"), (" * x * (casos - before)", "mxy")))
+    for i in range(rounds + 1):
+        ctes |= {
+            f"moments_{i}": f"SELECT *, {moments} FROM weeks_{i} WINDOW w AS (PARTITION BY sigla ORDER BY semana)",
+            f"lines_{i}": f"""SELECT *, my / nullif(m, 0) + CASE WHEN m * mxx - mx * mx > 1e-6 THEN (m * mxy - mx * my) / (m * mxx - mx * mx) ELSE 0 END
+                * (x - mx / nullif(m, 0)) AS t FROM moments_{i}""",
+            f"phases_{i}": f"SELECT sigla, pos, coalesce(sum(wt * (casos - t)) / nullif(sum(wt), 0), 0) AS s FROM lines_{i} GROUP BY 1, 2",
+            f"parts_{i}": f"""SELECT l.sigla, semana, casos, x, l.pos, t, p.s - c.mean AS s, casos - t - (p.s - c.mean) AS r FROM lines_{i} l
+                JOIN phases_{i} p ON p.sigla = l.sigla AND p.pos = l.pos
+                JOIN (SELECT sigla, avg(s) AS mean FROM phases_{i} GROUP BY 1) c ON c.sigla = l.sigla""",
+            f"weeks_{i + 1}": f"""SELECT sigla, semana, casos, x, pos, CASE WHEN scale <= 1e-9 THEN 1 WHEN abs(r) < scale THEN (1 - (r / scale) ** 2) ** 2 ELSE 0 END AS wt, s AS before
+                FROM (SELECT *, 6 * median(abs(r)) OVER (PARTITION BY sigla) AS scale FROM parts_{i})""",
+        }
+    return ctes
+
+
+@query(
+    "decompose_robust",
+    "SELECT sigla, semana, casos, round(t, 6) AS tendencia, round(s, 6) AS sazonalidade, round(r, 6) AS residuo FROM parts_3",
+    **_robust_ctes(3),
+)
+def _(spark, sf):
+    parts = timeseries.decompose_robust(_filled_uf(spark, sf), ["sigla"])
+    return rounded(parts, "tendencia", "sazonalidade", "residuo")
+
+
 def _trend(spark, sf):
     s = model.silver(spark, sf)
     cases = timeseries.study_cases(
@@ -865,16 +900,33 @@ def _(spark, sf):
     return rounded(cluster.zscores(_profile(spark, sf)).select("municipio_id", *_Z), *_Z)
 
 
-@query(
-    "silhouette_given_labels",
-    f"""SELECT round(avg(CASE WHEN size = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhueta FROM (
+def _silhouette_sql(distance: str) -> str:
+    return f"""SELECT round(avg(CASE WHEN size = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhueta FROM (
           SELECT id, max(CASE WHEN own = other THEN n END) AS size, max(CASE WHEN own = other THEN d / nullif(n - 1, 0) END) AS a,
                  min(CASE WHEN own <> other THEN d / n END) AS b
-          FROM (SELECT p.municipio_id AS id, p.cluster AS own, q.cluster AS other, count(*) AS n,
-                       sum(sqrt({' + '.join(f'(p.{z} - q.{z}) ** 2' for z in _Z)})) AS d
-                FROM scaled p CROSS JOIN scaled_too q GROUP BY 1, 2, 3) GROUP BY id)""",
-    scaled_too="SELECT * FROM scaled",
-)
+          FROM (SELECT p.municipio_id AS id, p.cluster AS own, q.cluster AS other, count(*) AS n, sum({distance}) AS d
+                FROM scaled p CROSS JOIN scaled_too q GROUP BY 1, 2, 3) GROUP BY id)"""
+
+
+_SQUARED = " + ".join(f"(p.{z} - q.{z}) ** 2" for z in _Z)
+
+
+@query("silhouette_squared_given_labels", _silhouette_sql(_SQUARED), scaled_too="SELECT * FROM scaled")
+def _(spark, sf):
+    scaled = cluster.zscores(_clusters(spark, sf))
+    return rounded(cluster.silhouette_squared(scaled, "municipio_id", _Z, ["cluster"]).select("silhueta"), "silhueta")
+
+
+_PAIRS = [(i, j) for i in range(len(_Z)) for j in range(i, len(_Z))]
+
+
+@query("pca_covariance", "SELECT " + ", ".join(f"round(avg({_Z[i]} * {_Z[j]}), 6) AS c_{i}_{j}" for i, j in _PAIRS) + " FROM scaled")
+def _(spark, sf):
+    found = cluster.covariances(cluster.zscores(_profile(spark, sf)))
+    return rounded(found, *found.columns)
+
+
+@query("silhouette_given_labels", _silhouette_sql(f"sqrt({_SQUARED})"), scaled_too="SELECT * FROM scaled")
 def _(spark, sf):
     scaled = cluster.zscores(_clusters(spark, sf))
     return rounded(cluster.silhouette(scaled, "municipio_id", _Z, ["cluster"]).select("silhueta"), "silhueta")
