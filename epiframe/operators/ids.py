@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from epiframe.session import cut_counted, cut_lineage
+
 BUCKET_WIDTH = 1 << 20
+#: Splits whose offsets are sent to every task, about 50 MB; more of them are joined in shuffled form.
+SPLITS = 1 << 18
 
 
 def dense_id(df: DataFrame, key: str, out: str, width: int = BUCKET_WIDTH) -> DataFrame:
@@ -45,26 +49,27 @@ def dense_id(df: DataFrame, key: str, out: str, width: int = BUCKET_WIDTH) -> Da
 def arrival_id(df: DataFrame, out: str = "row_id") -> DataFrame:
     """Add ``out`` = 1, 2, 3, ... in file order to a frame that is a plain file scan.
 
-    The rows of one file split sit next to each other in one task, so a row's place in its
+    The files are scanned once: the rows are written with their split and their running number, and
+    read back. The rows of one file split sit next to each other in one task, so a row's place in its
     split is its running number minus the split's smallest one. Only one row per split is
-    aggregated and prefix-summed; the records themselves are never sorted or shuffled.
+    aggregated and prefix-summed, from the written columns that tell splits apart; the records
+    themselves are never sorted or shuffled while there are up to ``SPLITS`` splits.
     """
     split = ["__file", "__block"]
-    tagged = df.select(
+    tagged = cut_lineage(df.select(
         F.monotonically_increasing_id().alias("__pos"),
         F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
         *df.columns,
-    )
-    sizes = tagged.groupBy(*split).agg(F.min("__pos").alias("__first"), F.count("*").alias("n"))
-    order = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        *split, "__first", F.col("n").alias("__n"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("__start")
-    )
-    # One row per file split: bounded by the number of input splits the driver already lists.
-    place = F.col("__pos") - F.col("__first")
-    # Had the two scans cut the files differently, some row would fall outside its split.
-    checked = F.when((place >= 0) & (place < F.col("__n")), F.col("__start") + place + 1).otherwise(
-        F.raise_error(F.lit("file splits changed between scans"))
-    )
-    return tagged.join(F.broadcast(starts), split).select(checked.alias(out), *df.columns)
+    ))
+    sizes = tagged.groupBy(*split).agg(F.min("__pos").alias("__first"), F.count("*").alias("__n"))
+    # The total before a split: within its file, plus that of all earlier files, so that no window sees more than one row a file.
+    before = (Window.unboundedPreceding, -1)
+    files = sizes.groupBy("__file").agg(F.sum("__n").alias("__rows"))
+    files = files.select("__file", F.coalesce(F.sum("__rows").over(Window.orderBy("__file").rowsBetween(*before)), F.lit(0)).alias("__files"))
+    inside = F.coalesce(F.sum("__n").over(Window.partitionBy("__file").orderBy("__block").rowsBetween(*before)), F.lit(0))
+    starts = sizes.withColumn("__inside", inside).join(files, "__file").select(
+        *split, (F.col("__files") + F.col("__inside") - F.col("__first")).alias("__shift"))
+    starts, splits = cut_counted(starts)
+    starts = F.broadcast(starts) if splits <= SPLITS else starts
+    return tagged.join(starts, split).select((F.col("__pos") + F.col("__shift") + 1).alias(out), *df.columns)

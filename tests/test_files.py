@@ -56,6 +56,22 @@ def test_record_numbers_over_several_files(spark, tmp_path):
     assert all(r.row_id == int(r.a) + 1 for r in df.collect())
 
 
+def test_record_numbers_scan_the_text_once(spark, raw, monkeypatch):
+    from epiframe.operators import ids
+
+    df = bronze.read_case_file(spark, str(raw / "cases.csv"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in plan and plan.count("FileScan parquet") == 2 and "BroadcastHashJoin" in plan
+    monkeypatch.setattr(ids, "SPLITS", 0)
+    more = bronze.read_case_file(spark, str(raw / "cases.csv"))
+    assert df.exceptAll(more).count() == 0 and more.agg(F.max("row_id")).first()[0] == more.count()
+
+
+def test_record_numbers_of_an_empty_file(spark, tmp_path):
+    (tmp_path / "none.csv").write_text(case_lines())
+    assert bronze.read_case_file(spark, str(tmp_path / "none.csv")).count() == 0
+
+
 def case_lines(*records):
     header = ["extra", *CASE_COLUMNS]
     return "\n".join([",".join(header), *(",".join(r) for r in records)]) + "\n"

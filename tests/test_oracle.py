@@ -1,6 +1,7 @@
 import pytest
 
 import check
+import workload.files  # noqa: F401 - registers its queries
 from workload.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
