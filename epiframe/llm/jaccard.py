@@ -178,10 +178,13 @@ class Join:
         whole = self.scratch.cut(_prefixes(docs, size, percent, late), "members")
         reps = whole.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
         # The numbers are written with the rows, so every later read sees the same ones.
-        self.reps = self.scratch.cut(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
+        wide = self.scratch.cut(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
         self.members = self.scratch.cut(whole.select("doc_id", "tag", "node", "n"), "members")
         self.scratch.drop(whole)
-        core = self.shared(self.reps.select("id", "n", F.posexplode("prefix").alias("pos", "token")))
+        core = self.shared(wide.select("id", "n", F.posexplode("prefix").alias("pos", "token")))
+        # Prefixes are not read again, so the sets stay without them.
+        self.reps = self.scratch.cut(wide.drop("prefix"), "reps")
+        self.scratch.drop(wide)
         for _ in range(1, PASSES):
             wider, core = core, self.shared(core.select("id", "n", F.inline("prefix")).drop("df"))
             self.scratch.drop(wider)
@@ -193,10 +196,13 @@ class Join:
 
     def shared(self, entries: DataFrame) -> DataFrame:
         """id, n, prefix (pos, token, df) of sets with enough tokens that stand in other prefixes too."""
-        often = entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+        # Written first: the shuffle that counts is gone before the entries are shuffled.
+        often = self.scratch.cut(entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "often")
         held = entries.join(often, "token").groupBy("id", "n").agg(F.collect_list(F.struct("pos", "token", "df")).alias("prefix"))
         held = held.filter(F.size("prefix") >= F.greatest(extra(F.col("n"), self.percent), F.lit(1)))
-        return self.scratch.cut(held.withColumn("prefix", F.array_sort("prefix")), "core")
+        core = self.scratch.cut(held.withColumn("prefix", F.array_sort("prefix")), "core")
+        self.scratch.drop(often)
+        return core
 
     def fetch(self) -> DataFrame:
         """id, tokens: the whole sets of ``core``, from the texts."""
