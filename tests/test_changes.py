@@ -131,3 +131,22 @@ def test_fk_breaches_of_every_declared_reference(spark):
     tables = {r.parent: spark.createDataFrame([], f"{SILVER[r.parent].key} long") for r in refs} | {"notificacoes_casos": child}
     got = quality.fk_breaches(tables, ["notificacoes_casos"]).collect()
     assert sorted(map(tuple, got)) == sorted(("notificacoes_casos", r.column, i + 1, 1) for i, r in enumerate(refs))
+
+
+def test_duplicates_broadcast_no_patients(spark):
+    s = model.silver(spark, SF).settle()
+    marked = dedup.mark_duplicates(s.notificacoes_casos(), s.pacientes())
+    for key in ("paciente_id", "notificacao_id"):
+        assert f"SortMergeJoin [{key}#" in marked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_patient_with_many_records_has_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ingest, "SHARE", 10)
+    rows = [(i, 7 if i < 400 else None if i < 500 else i) for i in range(600)]
+    batch = spark.createDataFrame(rows, "chegada long, paciente_id long")
+    patients = spark.createDataFrame([(7,), (501,), (502,), (502,), (None,)], "paciente_id long")
+    out = ingest._with_patient(batch, patients)
+    shares = {r.p: r.n for r in out.groupBy(F.col("paciente_id").alias("p")).agg(F.count_distinct("__share").alias("n")).collect()}
+    assert shares[7] > 30 and shares[None] > 5 and shares[501] == 1
+    known = out.filter("__patient IS NOT NULL").groupBy("__patient").count().collect()
+    assert {r[0]: r[1] for r in known} == {7: 400, 501: 1, 502: 2} and out.count() == 601  # a patient that stands twice counts twice, as before
