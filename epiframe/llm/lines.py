@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from epiframe.llm.common import SPACES, Scratch, let, words
@@ -18,6 +20,13 @@ def _rank(*parts: Column) -> list[Column]:
     return [F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b")]
 
 
+def _later(ranked: DataFrame) -> DataFrame:
+    """Positions whose rank stands more than once, with ``later``: not the first of that rank."""
+    place = F.struct(*KEY, "at")
+    classes = ranked.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
+    return ranked.join(classes, ["a", "b"]).select(*KEY, "at", "a", "b", (~place.eqNullSafe(F.col("first"))).alias("later"))
+
+
 def later_copies(docs: DataFrame, min_lines: int, scratch: Scratch, long_words: int | None = None) -> DataFrame:
     """doc_id, text_hash, line: lines inside a run of ``min_lines`` that stands earlier in the corpus.
 
@@ -25,9 +34,10 @@ def later_copies(docs: DataFrame, min_lines: int, scratch: Scratch, long_words:
 
     The suffixes are those of the sequences of non-blank lines. A round joins each position's rank
     with the rank ``step`` lines on, which ranks runs of twice the length; positions whose run is
-    unique leave, since no longer run of theirs repeats. At ``min_lines`` the positions that share
-    a rank are one interval of suffixes with that common prefix; all but the first are copies. A longer
-    repeated run consists of repeated runs of ``min_lines``, so no further round would cover more.
+    unique leave, since no longer run of theirs repeats. Rounds go on until every rank is unique. Positions that share
+    a rank are one interval of suffixes with that common prefix; all but the first are later copies. A position
+    takes the longest run that is one; a maximal run of any length between two rounds is covered by the
+    runs of the shorter round at its two ends and between them.
     """
     def long(x: Column) -> Column:
         return F.lit(False) if long_words is None else F.size(words(x)) >= long_words
@@ -41,25 +51,30 @@ def later_copies(docs: DataFrame, min_lines: int, scratch: Scratch, long_words:
     ).select(*KEY, "at", "item.line", "item.a", "item.b", "item.long")
     ranked = scratch.cut(lines, "lines")
     numbers = ranked.select(*KEY, "at", "line")
-    alone = ranked.filter("long").select(*KEY, "at", "a", "b", F.lit(1).alias("run"))
+    found = [] if long_words is None else [_later(ranked.filter("long")).filter("later").select(*KEY, "at", F.lit(1).alias("run"))]
     length = 1
     while True:
-        shared = ranked.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "b")
-        ranked = ranked.join(shared, ["a", "b"], "left_semi")
-        if length >= min_lines:
-            break
-        step = min(length, min_lines - length)
+        if length < min_lines:
+            step = min(length, min_lines - length)
+            shared = ranked.join(ranked.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "b"), ["a", "b"], "left_semi")
+        else:
+            step = length
+            shared = scratch.cut(_later(ranked), f"shared{length}")
+            if length > 1:
+                scratch.drop(ranked)
+            if shared.isEmpty():
+                break
+            found.append(shared.filter("later").select(*KEY, "at", F.lit(length).alias("run")))
         ahead = W.partitionBy(*KEY).orderBy("at").rangeBetween(step, step)
-        ranked = ranked.select(
+        ranked = shared.select(
             *KEY, "at", "a", "b", F.first("a").over(ahead).alias("a2"), F.first("b").over(ahead).alias("b2")
         ).filter(F.col("a2").isNotNull()).select(*KEY, "at", *_rank(F.col("a"), F.col("b"), F.col("a2"), F.col("b2")))
         ranked = scratch.cut(ranked, f"runs{length + step}")
         length += step
-    ranked = ranked.select(*KEY, "at", "a", "b", F.lit(min_lines).alias("run"))
-    ranked = scratch.cut(ranked if long_words is None else ranked.unionByName(alone), "repeated")
-    first = ranked.groupBy("a", "b", "run").agg(F.min(F.struct("doc_id", "text_hash", "at")).alias("first"))
-    copies = ranked.join(first, ["a", "b", "run"]).filter(~F.struct("doc_id", "text_hash", "at").eqNullSafe(F.col("first")))
-    covered = copies.select(*KEY, F.explode(F.sequence(F.col("at"), F.col("at") + F.col("run") - 1)).alias("at")).distinct()
+    if not found:  # no run of the least length stands twice
+        found.append(numbers.limit(0).select(*KEY, "at", F.lit(1).alias("run")))
+    longest = reduce(DataFrame.unionByName, found).groupBy(*KEY, "at").agg(F.max("run").alias("run"))
+    covered = longest.select(*KEY, F.explode(F.sequence(F.col("at"), F.col("at") + F.col("run") - 1)).alias("at")).distinct()
     left, right = covered.alias("c"), numbers.alias("n")
     return left.join(
         right, (F.col("c.doc_id").eqNullSafe(F.col("n.doc_id"))) & (F.col("c.text_hash") == F.col("n.text_hash")) & (F.col("c.at") == F.col("n.at"))

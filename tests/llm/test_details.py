@@ -160,3 +160,16 @@ def test_pairs_of_pointers():
         odd = np.setdiff1d(np.arange(0, top + 9, max(1, top // 500)), values)
         at, same = held.seek(odd, np.zeros(len(odd), np.int64), np.full(len(odd), 2000))
         assert (at == np.searchsorted(values, odd)).all() and not same.any()
+
+
+def test_line_ranks_double_until_they_are_unique(spark, monkeypatch):
+    from epiframe.llm.common import Scratch
+
+    made, cut = [], Scratch.cut
+    monkeypatch.setattr(Scratch, "cut", lambda self, df, name="table": made.append(name) or cut(self, df, name))
+    run = [f"line {i}" for i in range(11)]
+    rows = [(1, "\n".join(["x", *run, "y"])), (2, "\n".join(run)), (3, "\n".join(["z", *run[3:8], "w"])), (4, "v\nline 10"), (None, "u\nu\nu\nu"), (5, None)]
+    got = {r.doc_id: r for r in lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert [n for n in made if n.startswith("shared")] == ["shared2", "shared4", "shared8", "shared16"]  # was one round, to length 2
+    assert [(got[i].text, got[i].n_removed, got[i].n_runs) for i in (1, 2, 3, 4, None, 5)] == [
+        (rows[0][1], 0, 0), ("", 11, 1), ("z\nw", 5, 1), ("v\nline 10", 0, 0), ("u", 3, 1), (None, 0, 0)]
