@@ -23,12 +23,12 @@ def run(
 ) -> dict[str, int]:
     """Build everything and publish silver, base and gold in one snapshot; returns the row count of each table.
 
-    The raw text is parsed once, into a columnar copy with record numbers; every later stage
-    reads only the columns it needs from the tables written before. Readers of the store at ``root`` see the
+    The raw text is parsed once, into a columnar copy with record numbers, of which one scan gives the codes of
+    all dimensions; every later stage reads only the columns it needs from the tables written before. Readers of the store at ``root`` see the
     old tables, all of them, until the new ones are all there.
     """
     counts = {"bronze": write_counted(read_case_file(spark, cases), f"{bronze_root}/casos")}
-    silver = Silver(spark.read.parquet(f"{bronze_root}/casos"), read_gazetteer(spark, gazetteer, gazetteer_skip))
+    silver = Silver(spark.read.parquet(f"{bronze_root}/casos"), read_gazetteer(spark, gazetteer, gazetteer_skip)).settle()
     tx = Store(spark, root).begin()
     counts |= stage_silver(tx, silver, strict, invalid)
     # The denormalised table comes from the records again, so patients and cases are never
