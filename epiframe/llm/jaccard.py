@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from epiframe.llm.common import LOWER, SPACES, Hashes, Scratch, blocks, components, mix
+from epiframe.llm.common import LOWER, SPACES, Hashes, Scratch, blocks, components, let, mix
 
 BLANK = np.zeros(256, bool)
 BLANK[list(SPACES.encode())] = True
@@ -30,8 +31,11 @@ PASSES = 3
 ROUNDS, CENTRAL_ROUNDS = 6, 2
 #: Lists of a set, from its first token on, in which it looks for leaders.
 LEADER_LISTS = 16
-#: Numbers of 64 bits in the map of a set's shared prefix tokens.
+#: Parts by hash in which sets are numbered and lists are built: only one part's shuffles are on disk at a time.
+SLICES = 4
+#: Numbers of 64 bits in the parity map of a set's tokens.
 MAP = 16
+MAPS = [f"m{w}" for w in range(MAP)]
 
 
 def shingle_sets(raw: np.ndarray, starts: np.ndarray, size: int) -> list[np.ndarray]:
@@ -163,11 +167,27 @@ def _position_skip(a: Column, b: Column, i: Column, j: Column, percent: int) ->
     return (100 + percent) * (F.abs(i - j) + F.abs((a - i) - (b - j))) <= (100 - percent) * (a + b)
 
 
+def parity_map(tokens: np.ndarray) -> np.ndarray:
+    """``MAP`` numbers whose bits tell whether an odd number of a set's tokens fall on them."""
+    odd = np.bincount((tokens >> np.uint64(16)).astype(np.int64) & (64 * MAP - 1), minlength=64 * MAP) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _differ_little(a: Column, b: Column, maps_a: list[Column], maps_b: list[Column], percent: int) -> Column:
+    """Whether sets of these sizes and parity maps can be similar enough.
+
+    Each token that only one of the sets holds flips one bit, so at least as many tokens are not
+    common as the maps have different bits. Tokens of both flip the same bit twice.
+    """
+    bits = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(maps_a, maps_b, strict=True)), F.lit(0))
+    return (100 + percent) * bits <= (100 - percent) * (a + b)
+
+
 class Join:
     """One run of the join: index lists, sets of the texts in them, links found so far.
 
     ``reps`` numbers the distinct sets; ``core`` has those that may have a link, with their shared
-    prefix tokens.
+    prefix tokens; ``sets`` has the whole sets of these and their parity maps.
     """
 
     def __init__(self, docs: DataFrame, size: int, percent: int):
@@ -176,15 +196,14 @@ class Join:
         self.scratch = Scratch(self.spark)
         late = self.spark.sparkContext.broadcast(frequent_tokens(docs, size, self.scratch))
         whole = self.scratch.cut(_prefixes(docs, size, percent, late), "members")
-        reps = whole.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-        # The numbers are written with the rows, so every later read sees the same ones.
-        wide = self.scratch.cut(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
+        parts = [self.numbered(whole, part) for part in range(SLICES)]
         self.members = self.scratch.cut(whole.select("doc_id", "tag", "node", "n"), "members")
         self.scratch.drop(whole)
-        core = self.shared(wide.select("id", "n", F.posexplode("prefix").alias("pos", "token")))
+        wide = reduce(DataFrame.unionByName, parts)
+        core = self.shared(wide.select("id", "n", F.posexplode("prefix").alias("pos", "token")), SLICES)
         # Prefixes are not read again, so the sets stay without them.
         self.reps = self.scratch.cut(wide.drop("prefix"), "reps")
-        self.scratch.drop(wide)
+        self.scratch.drop(*parts)
         for _ in range(1, PASSES):
             wider, core = core, self.shared(core.select("id", "n", F.inline("prefix")).drop("df"))
             self.scratch.drop(wider)
@@ -194,31 +213,45 @@ class Join:
         self.links: DataFrame | None = None
         self.tested: DataFrame | None = None
 
-    def shared(self, entries: DataFrame) -> DataFrame:
+    def numbered(self, whole: DataFrame, part: int) -> DataFrame:
+        """The distinct sets of one of ``SLICES`` parts of all sets, with numbers that no other part has."""
+        rows = whole.filter((F.col("n") > 0) & (F.pmod(F.xxhash64("node"), F.lit(SLICES)) == part))
+        reps = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        # The numbers are written with the rows, so every later read sees the same ones.
+        return self.scratch.cut(reps.withColumn("id", F.monotonically_increasing_id() + F.lit(part << 60)), "reps")
+
+    def shared(self, entries: DataFrame, slices: int = 1) -> DataFrame:
         """id, n, prefix (pos, token, df) of sets with enough tokens that stand in other prefixes too."""
-        # Written first: the shuffle that counts is gone before the entries are shuffled.
-        often = self.scratch.cut(entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "often")
-        held = entries.join(often, "token").groupBy("id", "n").agg(F.collect_list(F.struct("pos", "token", "df")).alias("prefix"))
+        parts = []
+        for part in range(slices):
+            own = entries if slices == 1 else entries.filter(F.pmod(F.col("token"), F.lit(slices)) == part)
+            # Written first: the shuffle that counts is gone before the entries are shuffled.
+            often = self.scratch.cut(own.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "often")
+            parts.append(self.scratch.cut(own.join(often, "token").select("id", "n", "pos", "token", "df"), "held"))
+            self.scratch.drop(often)
+        held = reduce(DataFrame.unionByName, parts).groupBy("id", "n").agg(F.collect_list(F.struct("pos", "token", "df")).alias("prefix"))
         held = held.filter(F.size("prefix") >= F.greatest(extra(F.col("n"), self.percent), F.lit(1)))
         core = self.scratch.cut(held.withColumn("prefix", F.array_sort("prefix")), "core")
-        self.scratch.drop(often)
+        self.scratch.drop(*parts)
         return core
 
     def fetch(self) -> DataFrame:
-        """id, tokens: the whole sets of ``core``, from the texts."""
+        """id, tokens, m0, m1 ...: the whole sets of ``core`` and their parity maps, from the texts."""
         wanted = self.scratch.cut(self.reps.join(self.core.select("id"), "id", "left_semi").select("id", "node", "doc_id"), "wanted")
 
         def take(part: pa.RecordBatch, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             offsets = np.zeros(len(sets) + 1, np.int32)
             np.cumsum([len(s) for s in sets], out=offsets[1:])
+            maps = np.array([parity_map(s) for s in sets])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))], names=["node", "tokens"])
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64))),
+                 *[pa.array(maps[:, w]) for w in range(MAP)]], names=["node", "tokens", *MAPS])
 
         ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
         texts = self.docs.join(ids, self.docs.doc_id.eqNullSafe(F.col("wanted_id")), "left_semi")
-        sets = _sets(texts, self.size, take, "node binary, tokens array<long>")
-        return self.scratch.cut(sets.join(wanted.select("node", "id"), "node").select("id", "tokens").dropDuplicates(["id"]), "sets")
+        sets = _sets(texts, self.size, take, "node binary, tokens array<long>, " + ", ".join(f"{m} long" for m in MAPS))
+        return self.scratch.cut(sets.join(wanted.select("node", "id"), "node").select("id", "tokens", *MAPS).dropDuplicates(["id"]), "sets")
 
     def labelled(self, labels: DataFrame | None) -> DataFrame:
         """``core`` with the class of each set, its own number where it has no link."""
@@ -295,22 +328,20 @@ class Join:
         rare = F.array_sort(F.transform("prefix", lambda x: F.struct(x["df"], x["token"], x["pos"])))
         spare = F.greatest(extra(F.col("n"), self.percent) - 1, F.lit(0))
         rare = F.slice(rare, F.lit(1), (F.size("prefix") - spare).cast("int"))
-        nodes = self.labelled(labels)
-        for w in range(MAP):  # which bits of the map the set's shared tokens take
-            nodes = nodes.withColumn(f"m{w}", F.expr(
-                f"aggregate(prefix, 0L, (m, x) -> IF((x.token >> 6) & {MAP - 1} = {w}, m | shiftleft(1L, CAST(x.token & 63 AS INT)), m))"))
-        maps = [f"m{w}" for w in range(MAP)]
-        bits = sum((F.bit_count(F.col(m)) for m in maps), F.lit(0))
-        entries = nodes.select("id", "n", "label", *maps, (F.size("prefix") - bits).alias("over"), F.inline(rare)).drop("df")
+        # A pair that also meets in a list just before leaves a row there.
+        rare = let(rare, lambda r: F.transform(r, lambda x, i: F.struct(
+            x["token"].alias("token"), x["pos"].alias("pos"), F.get(r, i - 1)["token"].alias("before"), F.get(r, i - 2)["token"].alias("before2"))))
+        nodes = self.labelled(labels).join(self.sets.select("id", *MAPS), "id")
+        entries = nodes.select("id", "n", "label", *MAPS, F.inline(rare))
         mixed = entries.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("token")
         entries = self.scratch.cut(entries.join(mixed, "token", "left_semi"), "mixed")
-        a, b = (entries.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "label", "pos", "over", *maps)]) for s in "ab")
+        a, b = (entries.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "label", "pos", "before", "before2", *MAPS)]) for s in "ab")
         n, m = F.col("n_a"), F.col("n_b")
-        # Tokens that both hold take the same bit; a bit that one of them takes k times can hide k - 1 more.
-        common = sum((F.bit_count(F.col(f"{c}_a").bitwiseAND(F.col(f"{c}_b"))) for c in maps), F.least("over_a", "over_b"))
+        met = [F.coalesce(F.col(f"{x}_a") == F.col(f"{y}_b"), F.lit(False)) for x in ("before", "before2") for y in ("before", "before2")]
         pairs = a.join(b, "token").filter(
-            (F.col("label_a") < F.col("label_b")) & _near_sizes(n, m, self.percent)
-            & _position_skip(n, m, F.col("pos_a"), F.col("pos_b"), self.percent) & _may_link(n, m, common, self.percent))
+            (F.col("label_a") < F.col("label_b")) & ~reduce(Column.__or__, met) & _near_sizes(n, m, self.percent)
+            & _position_skip(n, m, F.col("pos_a"), F.col("pos_b"), self.percent)
+            & _differ_little(n, m, [F.col(f"{c}_a") for c in MAPS], [F.col(f"{c}_b") for c in MAPS], self.percent))
         return self.bounded(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
 
     def classes(self) -> DataFrame:
